@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 # The characters that count as blank around a cell.
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
-# ``try_cast`` alone also takes '1.5d' and '0x1p3'; the pattern keeps those out.
+# What reads as a decimal number; ``try_cast`` alone also takes '1.5d' and '0x1p3'.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# The same below 1e304, so that the double is finite without a further test.
+FINITE_PATTERN = (
+    r"^[+-]?(?:(?:\d{1,300}\.?\d*|\.\d+)|(?:\d{1,15}\.?\d*|\.\d+)[eE](?:-\d+|\+?0*(?:\d{1,2}|1\d{2}|2[0-8]\d)))$"
+)
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+BIGINT_PATTERN = r"^[+-]?0*[0-9]{1,19}$"
 NON_FINITE_PATTERN = r"(?i)^[+-]?(nan|inf|infinity)$"
-LOWEST_BIGINT = -(2**63)
+HIGHEST_BIGINT = str(2**63 - 1)
 
 # Month abbreviations as the tab-separated catalogue writes them.
 MONTHS = {
@@ -43,46 +48,57 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
+def matched(text: Column, pattern: str) -> Column:
+    """The text if it matches, else null.
+
+    A failing ``try_cast`` builds and discards an exception, which costs far more
+    than a match, so text is matched before it is cast. The text appears once in
+    the expression, which keeps plans small where many cells are parsed.
+    """
+
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lit(0))
+
+
 def parse_double(text: Column) -> Column:
     """A finite double, or null for anything that is not a plain decimal number."""
 
-    cleaned = strip(text)
-    return finite(F.when(cleaned.rlike(NUMBER_PATTERN), cleaned.try_cast("double")))
+    return matched(strip(text), FINITE_PATTERN).try_cast("double")
 
 
 def number(text: Column, *, positive: bool = False) -> Column:
     """A number whose uncertainty marks ``? ~ *`` are dropped first."""
 
-    value = parse_double(F.translate(strip(text), "?~*", ""))
-    return F.when(value > 0, value) if positive else value
+    value = parse_double(F.translate(text, "?~*", ""))
+    return F.nullif(F.greatest(value, F.lit(0.0)), F.lit(0.0)) if positive else value
 
 
 def canonical_id(text: Column) -> Column:
     """An integer identifier without leading zeros; null when it is not one."""
 
-    cleaned = strip(text)
-    return F.when(cleaned.rlike(INTEGER_PATTERN), cleaned.try_cast("bigint"))
+    return matched(strip(text), BIGINT_PATTERN).try_cast("bigint")
 
 
 def digits_id(text: Column) -> Column:
     """Like :func:`canonical_id`, for sources that allow digits only (no sign)."""
 
-    cleaned = strip(text)
-    return F.when(cleaned.rlike(r"^[0-9]+$"), cleaned.try_cast("bigint"))
+    return matched(strip(text), "^[0-9]{1,19}$").try_cast("bigint")
+
+
+def fits_bigint(integer: Column) -> Column:
+    """Whether an integer token lies within the type, sign aside."""
+
+    digits = F.regexp_replace(integer, "^[+-]?0*", "")
+    short = F.char_length(integer) <= 18
+    return short | (F.char_length(digits) < 19) | ((F.char_length(digits) == 19) & (digits <= HIGHEST_BIGINT))
 
 
 def token_kind(text: Column) -> Column:
     """How a numeric cell reads: integer, float, out-of-range, non-finite or invalid."""
 
-    cleaned = strip(text)
-    whole = text.try_cast("bigint")
     return (
-        F.when(
-            text.rlike(INTEGER_PATTERN),
-            F.when(whole.isNull() | (whole == F.lit(LOWEST_BIGINT)), "out-of-range").otherwise("integer"),
-        )
-        .when(parse_double(text).isNotNull(), "float")
-        .when(cleaned.rlike(NON_FINITE_PATTERN) | cleaned.rlike(NUMBER_PATTERN), "non-finite")
+        F.when(text.rlike(INTEGER_PATTERN), F.when(fits_bigint(text), "integer").otherwise("out-of-range"))
+        .when(strip(text).rlike(FINITE_PATTERN), "float")
+        .when(strip(text).rlike(NON_FINITE_PATTERN) | strip(text).rlike(NUMBER_PATTERN), "non-finite")
         .otherwise("invalid")
     )
 
@@ -90,18 +106,14 @@ def token_kind(text: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """A numeric cell as BIGINT; a decimal token loses its fraction."""
 
-    return (
-        F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint"))
-        .otherwise(parse_double(text).try_cast("bigint"))
-    )
+    return F.coalesce(matched(text, BIGINT_PATTERN).try_cast("bigint"), parse_double(text).try_cast("bigint"))
 
 
 def iso_date(text: Column) -> Column:
     """``YYYY-MM-DD`` or ``YYYYMMDD`` as DATE; impossible and partial dates are null."""
 
-    cleaned = strip(text)
-    dashed = F.regexp_replace(cleaned, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.when(dashed.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), dashed.try_cast("date"))
+    dashed = F.regexp_replace(strip(text), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return matched(dashed, r"^(?!0000)\d{4}-\d{2}-\d{2}$").try_cast("date")
 
 
 def worded_date(text: Column) -> Column:

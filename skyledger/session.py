@@ -22,6 +22,7 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **sett
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

@@ -8,7 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.text import epoch_instant, parse_double, token_kind, whole_number
+from skyledger.functions.text import (
+    INTEGER_PATTERN, epoch_instant, fits_bigint, parse_double, token_kind, whole_number,
+)
+from skyledger.operators.stages import computed_once
 from skyledger.operators.quality import NUMERIC_FIELDS, REQUIRED_FIELDS
 from skyledger.sources.position import read_lines, without_return
 
@@ -53,28 +56,48 @@ def parse_element_lines(lines: DataFrame, header: Sequence[str]) -> DataFrame:
     two columns with one name the last counts.
     """
 
-    value = without_return(F.col("value"))
     cells = ", ".join(f"c{index} string" for index in range(len(header)))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "escape": '"'}
-    parsed = lines.withColumn("value", value).withColumn(
-        "_row", F.from_csv("value", f"{cells}, _bad string", options)
-    )
-    place = {name: F.coalesce(F.col(f"_row.c{index}"), F.lit("")) for index, name in enumerate(header)}
+    others = [column for column in lines.columns if column != "value"]
     line = F.col("value")
-    damage = (
+    structure = (
         F.when(~F.is_valid_utf8(line), "not UTF-8")
         .when(line == "", "blank line")
         .when(line.contains("\r") | (line.contains('"') & ~line.rlike(QUOTING_PATTERN)), "malformed quoting")
-        .when(F.col("_row._bad").isNotNull(), "wrong number of fields")
     )
-    for name, raw in place.items():
-        if name in NUMERIC_FIELDS:
-            kind = token_kind(raw)
-            fault = F.when(kind.isin("invalid", "non-finite", "out-of-range"), F.concat(kind, F.lit(f" {name}")))
-            damage = F.coalesce(damage, fault)
-    others = [column for column in lines.columns if column != "value"]
-    typed = [typed_field(name, raw).alias(name.lower()) for name, raw in place.items()]
-    return parsed.select(*others, *typed, epoch_instant(place["EPOCH"]).alias("epoch_at"), damage.alias("damage"))
+    row = F.from_csv(line, f"{cells}, _bad string", options)
+    trimmed = lines.withColumn("value", without_return(line))
+    split = computed_once(trimmed, row.alias("_row"), structure.alias("_structure"), keep=others)
+    place = {name: f"c{index}" for index, name in enumerate(header)}
+    cell = {name: F.coalesce(F.col(f"_row.{column}"), F.lit("")) for name, column in place.items()}
+    typed = computed_once(
+        split,
+        *[cell[name].alias(f"_{name}") for name in cell if name in NUMERIC_FIELDS],
+        *[typed_field(name, raw).alias(name.lower()) for name, raw in cell.items()],
+        epoch_instant(cell["EPOCH"]).alias("epoch_at"),
+        F.coalesce("_structure", F.when(F.col("_row._bad").isNotNull(), "wrong number of fields")).alias("_damage"),
+        keep=others,
+    )
+    names = [*others, *[name.lower() for name in place], "epoch_at", "_damage"]
+    found = computed_once(typed, _first_faulty([n for n in place if n in NUMERIC_FIELDS]).alias("_faulty"), keep=names)
+    fault = F.concat(token_kind(F.col("_faulty.cell")), F.lit(" "), F.col("_faulty.field"))
+    damage = F.coalesce("_damage", F.when(F.col("_faulty").isNotNull(), fault))
+    return computed_once(found, damage.alias("damage"), keep=names[:-1])
+
+
+def _first_faulty(fields: Sequence[str]) -> Column:
+    """Name and text of the first numeric cell that is not a usable number, or null."""
+
+    first = None
+    for name in fields:
+        raw = F.col(f"_{name}")
+        faulty = F.col(name.lower()).isNull()
+        if name not in WHOLE_FIELDS:
+            # Too long for a whole number, though it still reads as a double.
+            faulty = faulty | ((F.char_length(raw) > 18) & raw.rlike(INTEGER_PATTERN) & ~fits_bigint(raw))
+        cell = F.struct(F.lit(name).alias("field"), raw.alias("cell"))
+        first = F.when(faulty, cell) if first is None else first.when(faulty, cell)
+    return first
 
 
 def file_faults(lines: DataFrame, header_line: str) -> DataFrame:
