@@ -38,8 +38,8 @@ def dataset_checks(
     )
 
 
-def run_check(run: DataFrame, as_of: Column) -> DataFrame:
-    """The fetch job itself, from the newest run row; no row is critical.
+def run_verdict(as_of: Column) -> tuple[Column, Column]:
+    """Severity and detail of a run summary row.
 
     A refusal outranks a spent allowance, which outranks failed subsets, which
     outrank age. A summary without ``checked_at`` is fine.
@@ -68,11 +68,17 @@ def run_check(run: DataFrame, as_of: Column) -> DataFrame:
         .when(age.isNull(), summary)
         .otherwise(F.concat(F.lit("last run "), age_text(age), F.lit("; "), summary))
     )
-    return _or_missing(run, "gp-run", severity, detail, "run summary missing or unreadable")
+    return severity, detail
 
 
-def catalogue_check(status: DataFrame, as_of: Column) -> DataFrame:
-    """Catalogue freshness by when the job last ran, at least a warning when it failed."""
+def run_check(run: DataFrame, as_of: Column) -> DataFrame:
+    """The fetch job itself, from the newest run row; no row is critical."""
+
+    return _or_missing(run, "gp-run", *run_verdict(as_of), "run summary missing or unreadable")
+
+
+def catalogue_verdict(as_of: Column) -> tuple[Column, Column]:
+    """Severity and detail of a catalogue run: its age, at least a warning when it failed."""
 
     age = age_seconds(F.col("checked_at"), as_of)
     by_age = age_severity(age, warning=CATALOGUE_WARNING_SECONDS, critical=CATALOGUE_CRITICAL_SECONDS)
@@ -81,14 +87,18 @@ def catalogue_check(status: DataFrame, as_of: Column) -> DataFrame:
     outcome = F.concat(F.lit("last run "), F.coalesce("result", F.lit("failed")))
     outcome = F.concat_ws(": ", outcome, F.nullif("error", F.lit("")))
     detail = F.concat_ws("; ", age_text(age), F.when(failed, outcome))
-    return _or_missing(
-        status, "catalog",
+    return (
         F.when(age.isNull(), "critical").otherwise(severity_name(rank)),
         F.when(age.isNull(), "no usable checkedAt timestamp").otherwise(detail),
-        "status document missing or unreadable",
     )
 
 
+def catalogue_check(status: DataFrame, as_of: Column) -> DataFrame:
+    """Catalogue freshness by when the job last ran."""
+
+    return _or_missing(status, "catalog", *catalogue_verdict(as_of), "status document missing or unreadable")
+
+
 def manifest_check(manifest: DataFrame) -> DataFrame:
     """The published catalogue resolves and holds records."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
@@ -47,10 +47,11 @@ def trailing_bytes(
     within = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
     running = steps.withColumn("_run", F.sum("_delta").over(within)).filter("_real")
     joined = running.join(carried, [*keys, "_bucket"])
-    return joined.select(*keys, F.timestamp_micros("_t").alias(at), (F.col("_run") + F.col("_carry")).alias("used"))
+    stamp = F.timestamp_micros("_t").cast(log.schema[at].dataType)
+    return joined.select(*keys, stamp.alias(at), (F.col("_run") + F.col("_carry")).alias("used"))
 
 
-def remaining_bytes(used: str, budget: int):
+def remaining_bytes(used: Column, budget: int) -> Column:
     """What is left of an allowance, never below zero."""
 
-    return F.greatest(F.lit(budget).cast("bigint") - F.col(used), F.lit(0).cast("bigint"))
+    return F.greatest(F.lit(budget).cast("bigint") - used, F.lit(0).cast("bigint"))
