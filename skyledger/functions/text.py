@@ -106,7 +106,8 @@ def token_kind(text: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """A numeric cell as BIGINT; a decimal token loses its fraction."""
 
-    return F.coalesce(matched(text, BIGINT_PATTERN).try_cast("bigint"), parse_double(text).try_cast("bigint"))
+    decimal = matched(strip(text), r"^(?![+-]?\d+$)" + FINITE_PATTERN[1:]).try_cast("double")
+    return F.coalesce(matched(text, BIGINT_PATTERN).try_cast("bigint"), decimal.try_cast("bigint"))
 
 
 def iso_date(text: Column) -> Column:

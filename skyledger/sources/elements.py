@@ -152,7 +152,8 @@ def csv_gate(records: DataFrame, faults: DataFrame) -> str | None:
     damaged = records.filter("damage is not null").agg(F.min(F.struct("pos", "damage")).alias("first")).first()["first"]
     if damaged is None:
         return None
-    index = records.filter(F.col("pos") < F.lit(damaged["pos"])).count()
+    place = F.struct(*[F.lit(damaged["pos"][name]).alias(name) for name in ("file", "block", "row")])
+    index = records.filter(F.col("pos") < place).count()
     return f"CSV row {index}: {damaged['damage']}"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,7 +32,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return positioned(spark.read.option("lineSep", "\n").text(path))
 
 
-def without_return(value):
+def without_return(value: Column) -> Column:
     """The line without the carriage return a CRLF ending leaves behind."""
 
-    return F.regexp_replace(value, "\r$", "")
+    return F.when(value.endswith("\r"), F.left(value, F.char_length(value) - 1)).otherwise(value)
