@@ -80,7 +80,7 @@ def satcat_rcs_band(v: Inputs) -> DataFrame:
 
 
 def satcat_approx_orbit(v: Inputs) -> DataFrame:
-    orbit = orbits.approximate_orbit(F.col("period"), F.col("inclination"), F.col("apogee"), F.col("perigee"))
+    orbit = orbits.approximate_orbit(*[text.number(F.col(n)) for n in ("period", "inclination", "apogee", "perigee")])
     rows = v.fx_satcat.select("pos", orbit.alias("o"))
     return rows.select("pos", F.col("o").isNotNull().alias("described"), "o.periodMinutes", "o.inclinationDeg",
                        "o.apogeeKm", "o.perigeeKm")
@@ -109,7 +109,7 @@ def gcat_alt_names(v: Inputs) -> DataFrame:
 def gcat_mass_dims(v: Inputs) -> DataFrame:
     rows = v.fx_gcat.select(
         "pos", orbits.first_positive(F.col("totmass"), F.col("mass"), F.col("drymass")).alias("mass_kg"),
-        orbits.dimensions(F.col("span"), F.col("length"), F.col("diameter")).alias("d"),
+        orbits.dimensions(*[text.number(F.col(n), positive=True) for n in ("span", "length", "diameter")]).alias("d"),
     )
     return rows.select("pos", "mass_kg", F.col("d").isNotNull().alias("sized"), "d.span_m", "d.length_m", "d.diameter_m")
 

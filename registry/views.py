@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skyledger.operators.stages import computed_once
 from skyledger.session import use_utc
 
 VIEWS = {
@@ -218,7 +220,10 @@ class Inputs:
         if name in TABLES:
             return self.table(name)
         text = VIEWS[name]
-        return self.spark.sql(text, **{source: self.view(source) for source in _reads(text)})
+        frame = self.spark.sql(text, **{source: self.view(source) for source in _reads(text)})
+        built = [F.col(column) for column in ("value", "coordinates") if column in frame.columns]
+        # A reader would deliver these texts ready made; do not rebuild them at every use.
+        return computed_once(frame, *built, keep=[c for c in frame.columns if c not in ("value", "coordinates")]) if built else frame
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_") or name in TABLES:

@@ -34,14 +34,11 @@ def rcs_band(value: Column) -> Column:
 def approximate_orbit(period: Column, inclination: Column, apogee: Column, perigee: Column) -> Column:
     """The catalogue's own orbit summary; null when it gives neither period nor inclination."""
 
-    period_minutes, inclination_deg = number(period), number(inclination)
     return F.when(
-        period_minutes.isNotNull() | inclination_deg.isNotNull(),
+        period.isNotNull() | inclination.isNotNull(),
         F.struct(
-            period_minutes.alias("periodMinutes"),
-            inclination_deg.alias("inclinationDeg"),
-            number(apogee).alias("apogeeKm"),
-            number(perigee).alias("perigeeKm"),
+            period.alias("periodMinutes"), inclination.alias("inclinationDeg"),
+            apogee.alias("apogeeKm"), perigee.alias("perigeeKm"),
         ),
     )
 
@@ -71,16 +68,11 @@ def first_positive(*texts: Column) -> Column:
 
 
 def dimensions(span: Column, length: Column, diameter: Column) -> Column:
-    """Positive sizes only; null when there is none."""
+    """The sizes that are known; null when there is none."""
 
-    parts = {
-        "span_m": number(span, positive=True),
-        "length_m": number(length, positive=True),
-        "diameter_m": number(diameter, positive=True),
-    }
     return F.when(
-        F.coalesce(*parts.values()).isNotNull(),
-        F.struct(*[value.alias(name) for name, value in parts.items()]),
+        F.coalesce(span, length, diameter).isNotNull(),
+        F.struct(span.alias("span_m"), length.alias("length_m"), diameter.alias("diameter_m")),
     )
 
 

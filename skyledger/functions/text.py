@@ -14,6 +14,7 @@ NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 FINITE_PATTERN = (
     r"^[+-]?(?:(?:\d{1,300}\.?\d*|\.\d+)|(?:\d{1,15}\.?\d*|\.\d+)[eE](?:-\d+|\+?0*(?:\d{1,2}|1\d{2}|2[0-8]\d)))$"
 )
+_PADDED_FINITE = rf"^\s*{FINITE_PATTERN[1:-1]}\s*$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 BIGINT_PATTERN = r"^[+-]?0*[0-9]{1,19}$"
 NON_FINITE_PATTERN = r"(?i)^[+-]?(nan|inf|infinity)$"
@@ -60,9 +61,12 @@ def matched(text: Column, pattern: str) -> Column:
 
 
 def parse_double(text: Column) -> Column:
-    """A finite double, or null for anything that is not a plain decimal number."""
+    """A finite double, or null for anything that is not a plain decimal number.
 
-    return matched(strip(text), FINITE_PATTERN).try_cast("double")
+    The cast ignores blanks around a number by itself.
+    """
+
+    return F.when(text.rlike(_PADDED_FINITE), text.try_cast("double"))
 
 
 def number(text: Column, *, positive: bool = False) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from skyledger.functions.text import epoch_instant, finite, parse_double, strip
 from skyledger.functions.text import NON_FINITE_PATTERN, NUMBER_PATTERN, whole_number
 from skyledger.operators.dedup import second_occurrences
+from skyledger.operators.stages import computed_once
 
 # The fields a record must carry, and the fields that are numeric.
 REQUIRED_FIELDS = (
@@ -112,7 +113,7 @@ def first_failed(checks: Sequence[Check]) -> Column:
 
 
 def flag_records(df: DataFrame, checks: Sequence[Check], name: str = "_failed") -> DataFrame:
-    return df.withColumn(name, first_failed(checks))
+    return computed_once(df, first_failed(checks).alias(name))
 
 
 def rule_name(index: Column, checks: Sequence[Check]) -> Column:

@@ -21,6 +21,9 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **sett
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Wide projections become methods the JIT would otherwise leave interpreted.
+        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -12,6 +12,7 @@ from skyledger.functions.text import (
     canonical_id, digits_id, iso_date, name_list, number, optional_string, strip, worded_date,
 )
 from skyledger.operators.dedup import last_wins
+from skyledger.operators.stages import computed_once
 from skyledger.sources.elements import DamagedSource
 from skyledger.sources.position import positioned, read_lines, without_return
 
@@ -46,8 +47,10 @@ def clean_satcat(raw: DataFrame, position: str = "pos") -> DataFrame:
         raise DamagedSource(f"satellite catalogue is missing columns: {', '.join(missing)}")
     named = _with_columns(raw, SATCAT_USED).withColumn("norad", canonical_id(F.col("NORAD_CAT_ID")))
     kept = named.filter("norad is not null").select("norad", position, *SATCAT_USED)
-    newest = last_wins(kept, "norad", position)
-    rcs = number(F.col("RCS"))
+    numbers = ("PERIOD", "INCLINATION", "APOGEE", "PERIGEE", "RCS")
+    newest = computed_once(
+        last_wins(kept, "norad", position), *[number(F.col(name)).alias(f"_{name}") for name in numbers]
+    )
     return newest.select(
         "norad",
         optional_string(F.col("OBJECT_ID")).alias("cospar"),
@@ -58,12 +61,12 @@ def clean_satcat(raw: DataFrame, position: str = "pos") -> DataFrame:
         iso_date(F.col("LAUNCH_DATE")).alias("launchDate"),
         optional_string(F.col("LAUNCH_SITE")).alias("launchSite"),
         iso_date(F.col("DECAY_DATE")).alias("decayDate"),
-        rcs.alias("rcsValue_m2"),
-        orbits.rcs_band(rcs).alias("rcsSize"),
+        F.col("_RCS").alias("rcsValue_m2"),
+        orbits.rcs_band(F.col("_RCS")).alias("rcsSize"),
         codes.data_status(F.col("DATA_STATUS_CODE")).alias("dataStatus"),
         codes.orbit_center(F.col("ORBIT_CENTER")).alias("orbitCenter"),
         orbits.approximate_orbit(
-            F.col("PERIOD"), F.col("INCLINATION"), F.col("APOGEE"), F.col("PERIGEE")
+            F.col("_PERIOD"), F.col("_INCLINATION"), F.col("_APOGEE"), F.col("_PERIGEE")
         ).alias("approximateOrbit"),
     )
 
@@ -81,7 +84,11 @@ def clean_gcat(raw: DataFrame, position: str = "pos") -> DataFrame:
 
     named = _with_columns(raw, GCAT_USED).withColumn("norad", digits_id(F.col("Satcat")))
     kept = named.filter("norad is not null").select("norad", position, *GCAT_USED)
-    newest = last_wins(kept, "norad", position)
+    sizes = ("Span", "Length", "Diameter")
+    newest = computed_once(
+        last_wins(kept, "norad", position),
+        *[number(F.col(name), positive=True).alias(f"_{name}") for name in sizes],
+    )
     return newest.select(
         "norad",
         optional_string(F.col("Owner")).alias("owner"),
@@ -89,7 +96,7 @@ def clean_gcat(raw: DataFrame, position: str = "pos") -> DataFrame:
         worded_date(F.col("LDate")).alias("launchDate"),
         worded_date(F.col("DDate")).alias("decayDate"),
         orbits.first_positive(F.col("TotMass"), F.col("Mass"), F.col("DryMass")).alias("massKg"),
-        orbits.dimensions(F.col("Span"), F.col("Length"), F.col("Diameter")).alias("dimensions"),
+        orbits.dimensions(F.col("_Span"), F.col("_Length"), F.col("_Diameter")).alias("dimensions"),
         optional_string(F.col("Shape")).alias("shape"),
         orbits.orbit_class(F.col("OpOrbit")).alias("orbitClass"),
         orbits.lifecycle(F.col("Status")).alias("status"),
@@ -126,9 +133,8 @@ def clean_magnitudes(lines: DataFrame, position: str = "pos") -> DataFrame:
     line = without_return(F.col("value"))
     token = strip(F.substring(line, 1, 5))
     magnitude = number(F.substring(line, 34, 4))
-    rows = lines.filter((F.char_length(line) >= 37) & ~token.isin(*PLACEHOLDER_IDS)).select(
-        digits_id(token).alias("norad"), position, magnitude.alias("stdMag")
-    )
+    long_enough = lines.filter((F.char_length(line) >= 37) & ~token.isin(*PLACEHOLDER_IDS))
+    rows = computed_once(long_enough, digits_id(token).alias("norad"), magnitude.alias("stdMag"), keep=[position])
     return last_wins(rows.filter("norad is not null and stdMag is not null"), "norad", position).drop(position)
 
 

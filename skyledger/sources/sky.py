@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.orbits import declination_degrees, right_ascension_degrees
 from skyledger.functions.rounding import round_exact
 from skyledger.functions.text import number, optional_string, strip
+from skyledger.operators.stages import computed_once
 from skyledger.sources.position import read_lines, without_return
 
 MAXIMUM_MAGNITUDE = 4.5
@@ -35,21 +36,24 @@ def parse_stars(
         "_rah": (75, 77), "_ram": (77, 79), "_ras": (79, 83),
         "_ded": (84, 86), "_dem": (86, 88), "_des": (88, 90), "mag": (102, 107),
     }
-    rows = lines.filter((F.char_length(line) >= 107) & token.rlike("^[0-9]+$")).select(
-        "pos", token.alias("_hr"), optional_string(piece(4, 14)).alias("bayer"), piece(83, 84).alias("_sign"),
+    rows = computed_once(
+        lines.filter((F.char_length(line) >= 107) & token.rlike("^[0-9]+$")),
+        token.alias("_hr"), optional_string(piece(4, 14)).alias("bayer"), piece(83, 84).alias("_sign"),
         *[number(piece(*span)).alias(name) for name, span in cells.items()],
+        keep=["pos"],
     )
     complete = rows.dropna(subset=list(cells)).filter(F.col("mag") <= maximum_magnitude)
     named = complete.join(names.select(F.col("hr").alias("_hr"), F.col("name").alias("_name")), "_hr", "left")
     ra = right_ascension_degrees(F.col("_rah"), F.col("_ram"), F.col("_ras"))
     dec = declination_degrees(F.col("_sign"), F.col("_ded"), F.col("_dem"), F.col("_des"))
-    return named.select(
+    placed = computed_once(named, ra.alias("_ra"), dec.alias("_dec"))
+    return placed.select(
         "pos",
         F.col("_hr").cast("bigint").alias("hr"),
         F.coalesce(F.nullif("_name", F.lit("")), "bayer").alias("name"),
         "bayer",
-        round_exact(ra, 4).alias("ra"),
-        round_exact(dec, 4).alias("dec"),
+        round_exact(F.col("_ra"), 4).alias("ra"),
+        round_exact(F.col("_dec"), 4).alias("dec"),
         "mag",
     )
 
