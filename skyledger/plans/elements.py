@@ -124,6 +124,7 @@ class ElementJobs:
             return self._refuse(dataset, state, error)
         self.store.point(dataset.name, version, at)
         self._record(state | self._published(staged, gate, at))
+        self.store.prune(dataset.name)
         return Outcome(dataset.name, "published", None, gate["record_count"])
 
     def _refuse(self, dataset: Dataset, state: dict, error: str) -> Outcome:
@@ -201,6 +202,8 @@ class ElementJobs:
                 rows.append(base | {"last_result": "validation-error", "error": gate["error"]})
                 outcomes.append(Outcome(rule.name, "validation-error", gate["error"], None))
         self._record(*rows)
+        if passed:
+            self.store.prune_shared(f"{source}.subsets")
         return outcomes
 
     @staticmethod

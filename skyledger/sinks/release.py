@@ -112,6 +112,20 @@ class ReleaseStore:
             return []
         return [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
 
+    def prune_shared(self, folder: str) -> list[str]:
+        """Delete versions of a folder that several streams point into.
+
+        The newest ``keep`` stay, and so does every version some stream points to.
+        """
+
+        listed = sorted(self._listed(folder), reverse=True)
+        newest = self._pointer_rows().groupBy("stream").agg(F.max_by("version", "sequence").alias("version"))
+        used = {row["version"] for row in newest.filter(F.col("version").isin(listed)).collect()}
+        dropped = [version for version in listed[self.keep:] if version not in used]
+        for version in dropped:
+            self._delete(folder, version)
+        return sorted(dropped)
+
     def prune(self, stream: str) -> list[str]:
         """Delete versions beyond the newest ``keep``; the current one always stays."""
 

@@ -73,6 +73,18 @@ def test_refused_snapshot_keeps_the_published_one(spark, tmp_path):
         assert len(names(jobs.store.read("active", "records"))) == 5
 
 
+def test_old_versions_go_but_pointed_ones_stay(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"), keep=2)
+    for number in range(4):
+        rows = MIXED if number == 0 else [row.replace("STARLINK", "RENAMED") for row in MIXED]
+        at = NOW + timedelta(hours=number)
+        jobs.refresh(ACTIVE, land(tmp_path, body(*rows), f"{number}.csv"), at)
+        jobs.derive(RULES[:2], at)
+    assert len(jobs.store._listed("active")) == 2
+    assert len(jobs.store._listed("active.subsets")) == 3
+    assert len(names(jobs.members(RULES[0]))) == 3 and len(names(jobs.members(RULES[1]))) == 2
+
+
 def test_floor_comes_before_record_faults(spark, tmp_path):
     jobs = ElementJobs(spark, str(tmp_path / "store"))
     outcome = jobs.refresh(Dataset("active", minimum_records=10), land(tmp_path, body(element(0))), NOW)
