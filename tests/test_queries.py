@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 from registry.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+GROUPED = {name for group in entry.GROUPS for name in group.QUERIES}
+QUERIES = {name: query for name, query in entry.queries().items() if name in GROUPED}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in GROUPED}
 
 
 @pytest.fixture(scope="module")
