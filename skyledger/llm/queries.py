@@ -106,9 +106,9 @@ ORACLES = {
         with p as (select page_id, coalesce(html, '') as payload from pages),
         g as (select payload, max(page_id) as kept, sha1(payload) as h from p group by payload)
         select page_id, strlen(payload) as payload_bytes,
-            list_reduce(list_transform(range(0, 32), i -> substr('{BASE32}',
+            list_reduce(list_transform(range(0, 32), lambda i: substr('{BASE32}',
                 ((cast('0x' || substr(h, 5 * (i // 4) + 1, 5) as bigint) >> (15 - 5 * (i % 4))) & 31) + 1, 1)),
-                (a, b) -> a || b) as payload_digest,
+                lambda a, b: a || b) as payload_digest,
             case when page_id = kept then 'response' else 'revisit' end as record_type,
             case when page_id = kept then null else kept end as refers_to
         from p join g using (payload)""",
