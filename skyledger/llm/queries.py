@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, contamination, neighbours, pieces, pii, warc
+from skyledger.llm import chat, contamination, jaccard, neighbours, pieces, pii, warc
 from skyledger.llm.common import table
 from skyledger.llm.models import piece_model
 
@@ -32,6 +32,12 @@ def op6_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_conversations(rows))
 
 
+def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles overlap by nine tenths."""
+
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
 
@@ -54,7 +60,7 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_sentencepiece_offsets, op5_pii_weak_supervision, op6_chat_round_trip, op8_benchmark_passages, op9_warc_archives,
+    op4_sentencepiece_offsets, op5_pii_weak_supervision, op6_chat_round_trip, op7_signature_trees, op8_benchmark_passages, op9_warc_archives,
     op10_learned_partitions,
 )}
 
@@ -78,6 +84,26 @@ ORACLES = {
                 as loss_sha256,
             cast(sum(length(role) + length(text) + marks + 22) as bigint) as formatted_chars, true as round_trip
         from m group by conv_id""",
+    "op7_signature_trees": rf"""
+        with recursive words as (
+            select row_number() over () as r, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        shingled as (
+            select r, doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                else list_distinct(list_transform(range(1, len(w) - 1), lambda s: array_to_string(list_slice(w, s, s + 2), ' ')))
+                end as s from words),
+        sets as (select md5(array_to_string(list_sort(s), '|')) as k, min(doc_id) as doc_id, any_value(s) as s, len(any_value(s)) as n
+                 from shingled where len(s) > 0 group by 1),
+        members as (select k, n, unnest(s) as x from sets),
+        shared as (select a.k as a, b.k as b, a.n as na, b.n as nb, count(*) as i from members a join members b
+                   on a.x = b.x and a.k < b.k and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by all),
+        links as (select a, b from shared where 100 * i >= 90 * (na + nb - i)),
+        both as (select a, b from links union all select b, a from links union all select k, k from sets),
+        reach(a, b) as (select a, b from both union select reach.a, both.b from reach join both on reach.b = both.a),
+        named as (select a as k, min(doc_id) as component_id from reach join sets on b = k group by a)
+        select doc_id, len(s) as n_shingles, coalesce(component_id, doc_id) as component_id
+        from shingled left join named on k = md5(array_to_string(list_sort(s), '|')) and len(s) > 0""",
     "op8_benchmark_passages": rf"""
         with words as (
             select row_number() over () as r, doc_id,
