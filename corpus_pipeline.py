@@ -1,12 +1,78 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Every stage but the last returns the columns of ``documents``. Texts are whole throughout,
+and each stage reads all that the one before it kept. A null id or text passes through as an
+empty text; repeated rows stay as often as they occur, except where the join keeps one of a
+group. Without rows each stage returns none.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from skyledger.llm import contamination, jaccard, pieces, pii, quality
+from skyledger.llm.common import table
+from skyledger.llm.models import piece_model
+from skyledger.session import materialize
+
+#: Documents less likely than this to be good go. Half is where the classes balance; clean ones stay.
+QUALITY_THRESHOLD = 0.5
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out what the network rejects; it learns from all labelled documents."""
+
+    network = quality.fit_quality(docs, table(spark, sf_dir, "labels"), held_fold=None)
+    return _without(docs, quality.score_quality(docs, network).filter(F.col("score") < QUALITY_THRESHOLD).select("id"))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of linked sets; a repeated id stays once."""
+
+    groups = jaccard.jaccard_components(docs)
+    kept = groups.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]), "left_semi")
+    one = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
+    return joined.withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").drop("_copy")
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that hold a passage of the benchmark."""
+
+    found = contamination.find_passages(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.filter(F.size("hit_words") > 0).select("id"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace each personal span by its kind."""
+
+    return pii.masked(docs, pii.find_personal_data(docs)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of each document, with digests of the ids and of the decoded text."""
+
+    return pieces.piece_digests(pieces.encode_pieces(docs, piece_model()))
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids.distinct(), docs["doc_id"].eqNullSafe(ids["id"]), "left_anti")
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", good_quality),
+    ("jaccard_join", one_of_each_group),
+    ("decontamination", without_benchmarks),
+    ("personal_data", without_personal_data),
+    ("pieces", as_pieces),
+]
+#: The network and the votes can't be said in SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
