@@ -5,11 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, contamination, jaccard, neighbours, pieces, pii, warc
-from skyledger.llm.common import table
+from skyledger.llm import chat, contamination, jaccard, licenses, neighbours, pieces, pii, quality, warc, weighting
+from skyledger.llm.common import fold_of, table
 from skyledger.llm.models import piece_model
 
 
+def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under word counts and under the context trees."""
+
+    return weighting.score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled rows of two folds in three."""
+
+    docs = table(spark, sf_dir, "documents")
+    network = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, network).select(
+        F.col("id").alias("doc_id"), (fold_of(F.col("id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+
+    return licenses.find_licenses(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, spans and decoded text of every document, as counts and digests."""
 
@@ -60,6 +82,7 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_context_tree_weighting, op2_byte_network, op3_license_windows,
     op4_sentencepiece_offsets, op5_pii_weak_supervision, op6_chat_round_trip, op7_signature_trees, op8_benchmark_passages, op9_warc_archives,
     op10_learned_partitions,
 )}
@@ -99,8 +122,8 @@ ORACLES = {
         shared as (select a.k as a, b.k as b, a.n as na, b.n as nb, count(*) as i from members a join members b
                    on a.x = b.x and a.k < b.k and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by all),
         links as (select a, b from shared where 100 * i >= 90 * (na + nb - i)),
-        both as (select a, b from links union all select b, a from links union all select k, k from sets),
-        reach(a, b) as (select a, b from both union select reach.a, both.b from reach join both on reach.b = both.a),
+        sides as (select a, b from links union all select b, a from links union all select k, k from sets),
+        reach(a, b) as (select a, b from sides union select reach.a, sides.b from reach join sides on reach.b = sides.a),
         named as (select a as k, min(doc_id) as component_id from reach join sets on b = k group by a)
         select doc_id, len(s) as n_shingles, coalesce(component_id, doc_id) as component_id
         from shingled left join named on k = md5(array_to_string(list_sort(s), '|')) and len(s) > 0""",
