@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import ids_and_texts
+from skyledger.operators.stages import computed_once
 
 SHINGLE = 5
 CONTAINED = 0.8
@@ -97,8 +98,8 @@ def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lengths = sorted({r["length"] for r in rows})
     listed = F.array(*[F.lit(s) for s in wanted]).cast("array<bigint>")
     texts = ids_and_texts(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    cut = texts.select("row", "id", words_of(F.col("text")).alias("words"))
-    shingled = cut.select("row", "id", F.size("words").alias("n"), shingles_of(F.col("words")).alias("shingles"))
+    cut = computed_once(texts, words_of(F.col("text")).alias("words"), keep=["row", "id"])
+    shingled = computed_once(cut, shingles_of(F.col("words")).alias("shingles"), keep=["row", "id"])
     flagged = shingled.filter(F.arrays_overlap("shingles", listed))
     # Places (from 0) of shingles that some template holds, and windows of every length that start at or before them.
     places = flagged.select("row", "id", "shingles", F.filter(
@@ -106,8 +107,9 @@ def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     starts = places.select("row", "id", "shingles", F.explode("places").alias("start"))
     sized = starts.select("row", "id", "shingles", "start", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("length"))
     # A notice that lost its first words starts at its first shingle that is left, so windows start at such places.
-    windows = sized.select("row", "id", "start", "length", F.array_distinct(F.slice(
-        "shingles", F.col("start") + 1, F.greatest(F.lit(1), F.col("length") - SHINGLE + 1))).alias("window"))
+    windows = computed_once(sized, F.array_distinct(F.slice(
+        "shingles", F.col("start") + 1, F.greatest(F.lit(1), F.col("length") - SHINGLE + 1))).alias("window"),
+        keep=["row", "id", "start", "length"])
     banded = windows.withColumn("band", F.explode(minhash_bands(F.col("window"))))
     by_band = known.select("name", F.col("shingles").alias("template"), F.explode("bands").alias("band"))
     met = banded.join(F.broadcast(by_band), "band").select("row", "id", "start", "length", "name", "window", "template")
