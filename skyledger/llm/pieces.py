@@ -6,10 +6,9 @@ original UTF-8 text, and the text that the ids decode to. The ids are the librar
 * Normalisation goes through the model's compiled character map by longest prefix and
   records for each output byte its place in the original (``charmap.Normalizer``); spans
   of pieces in the normalised text are projected back through that record.
-* A piece never crosses from a letter to a blank, nor holds a line feed beside other
-  characters, if the vocabulary has no such piece. Then the words of a text are merged
-  independently of each other, and an encoded word can be kept and used again. This is
-  checked on the vocabulary; any other model encodes each text as a whole.
+* Without a character map every piece has a fixed width in the original: its own bytes, one
+  byte for each blank mark. Spans are then running sums of widths. A model with a map, or a
+  text that holds the blank mark itself, is aligned byte by byte.
 
 Null and empty texts have the end id only, with an empty span. Rows are neither dropped
 nor joined, so repeated ids give repeated rows. Work is per row: nothing is shuffled.
@@ -17,10 +16,8 @@ nor joined, so repeated ids give repeated rows. Work is per row: nothing is shuf
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +29,12 @@ from skyledger.llm import charmap
 from skyledger.llm.common import ids_and_texts, small_batches
 
 SCHEMA = "id {id}, ids array<int>, starts array<int>, ends array<int>, decoded string"
-#: Encoded words that a worker keeps; beyond it starts afresh.
-KEPT_WORDS = 250_000
-#: Longer words are not kept.
-LONG_WORD = 64
-WORDS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
 class PieceCodec:
     """One model: ids and spans of texts, and texts of ids."""
 
-    def __init__(self, model: bytes, kept_words: int = KEPT_WORDS):
+    def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         parts, kinds = [], []
         spec = trainer = b""
@@ -59,54 +51,26 @@ class PieceCodec:
         asked = dict(charmap.proto_fields(trainer))
         if asked.get(24, 0):
             raise ValueError("models with blanks at the end of words are not supported")
-        crossing = re.compile("[^▁]▁|.\n|\n.", re.DOTALL)
-        self.by_word = (
-            asked.get(3, 1) == charmap.BPE and not self.normalizer.map and self.normalizer.dummy_prefix
-            and self.normalizer.mark_blanks and not self.normalizer.squeeze_blanks
-            and charmap.USER_DEFINED not in kinds and bool(asked.get(35, 0))
-            and not any(crossing.search(part) for part, kind in zip(parts, kinds) if kind == 1)
+        self.fixed_width = (
+            not self.normalizer.map and self.normalizer.dummy_prefix and self.normalizer.mark_blanks
+            and not self.normalizer.squeeze_blanks and charmap.USER_DEFINED not in kinds and bool(asked.get(35, 0))
         )
-        self.blank = self.library.piece_to_id("▁")
-        # Bytes of the normalised text and of the original under each piece, if a blank is one byte there.
-        self.width = np.array([1 if self.library.is_byte(i) else 0 if self.library.is_control(i) else len(p.encode())
-                               for i, p in enumerate(parts)], np.int64)
-        self.original = self.width - 2 * np.array([0 if self.library.is_byte(i) else p.count("▁")
-                                                   for i, p in enumerate(parts)], np.int64)
-        self.kept: dict[str, list[int]] = {}
-        self.kept_words = kept_words
-
-    def _encode_words(self, texts: list[str]) -> list[list[int]]:
-        # One blank in front stands for the mark that the library puts before a text.
-        split = [WORDS.findall(" " + text) if text else [] for text in texts]
-        wanted = {word for words in split for word in words}
-        missing = list(wanted - self.kept.keys())
-        if len(self.kept) + len(missing) > self.kept_words:
-            self.kept.clear()
-            missing = list(wanted)
-        # The library puts a mark before each word: it replaces a leading blank, and is cut off otherwise.
-        fresh = self.library.encode([word[1:] if word[0] == " " else "\n" + word for word in missing])
-        for word, ids in zip(missing, fresh):
-            self.kept[word] = [self.blank] if word == " " else ids if word[0] == " " else ids[2:]
-        kept = self.kept
-        done = [list(chain.from_iterable([kept[word] for word in words])) for words in split]
-        for word in missing:
-            if len(word) > LONG_WORD:
-                del kept[word]
-        return done
+        # Bytes of the original under each piece, if a blank is one byte there.
+        self.width = np.array([1 if self.library.is_byte(i) else 0 if self.library.is_control(i)
+                               else len(p.encode()) - 2 * p.count("▁") for i, p in enumerate(parts)], np.int64)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
         """For each text the ids with the end id, and the starts and ends of their byte spans."""
 
         end_id = self.library.eos_id()
-        if self.by_word:
-            for text, ids in zip(texts, self._encode_words(texts)):
-                ends = np.cumsum(self.original[ids]) - 1 if ids else np.zeros(0, np.int64)
-                yield self._closed(ids, np.concatenate(([0], ends[:-1])) if ids else ends, ends, end_id)
-            return
         for text in texts:
-            data = text.encode()
-            _, origin = self.normalizer(data)
             ids = self.library.encode(text)
+            if self.fixed_width and "▁" not in text:
+                # The first mark stands for no byte of the text.
+                ends = np.cumsum(self.width[np.array(ids, np.int32)]) - 1
+                yield self._closed(ids, np.concatenate(([0], ends[:-1])) if ids else ends, ends, end_id)
+                continue
+            _, origin = self.normalizer(text.encode())
             surfaces = self.library.encode(text, out_type=str)
             width = np.array([1 if self.library.is_byte(i) else len(s.encode()) for i, s in zip(ids, surfaces)], np.int64)
             stops = np.cumsum(width)
