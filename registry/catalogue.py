@@ -357,7 +357,7 @@ from sx_kept group by 1""",
 
 def _content(shards: str) -> str:
     row = "to_json(struct_pack(bucket := bucket, digest := digest))"
-    sums = ", ',', ".join(f"cast(sum(cast(concat('0x', substr(sha256({row}), {s}, 15)) as bigint)) as varchar)" for s in (1, 16, 31, 46))
+    sums = ", ',', ".join(f"cast(sum(cast(concat('0x', substr(sha256({row}), {s}, 16)) as ubigint)) as varchar)" for s in (1, 17, 33, 49))
     return f"select sha256(concat({sums})) as content_sha256, count(*) as buckets from {shards}"
 
 
@@ -444,7 +444,7 @@ select source, rows, minimum, error is null as accepted, error from (select *, c
  from (select 'SATCAT' as source, count(*) as rows, cast(100 as bigint) as minimum from sx_satcat union all select 'magnitude', count(*), 10000000000 from sx_mag
   union all select 'star', 0, 1))"""),
     "sky_digest": (sky_digest, "select sha256(concat(" + ", ',', ".join(
-        f"cast(sum(cast(concat('0x', substr(sha256(to_json(struct_pack(hr := hr, name := name, bayer := bayer))), {s}, 15)) as bigint)) as varchar)"
-        for s in (1, 16, 31, 46)) + ")) as digest from sx_star_rows"),
+        f"cast(sum(cast(concat('0x', substr(sha256(to_json(struct_pack(hr := hr, name := name, bayer := bayer))), {s}, 16)) as ubigint)) as varchar)"
+        for s in (1, 17, 33, 49)) + ")) as digest from sx_star_rows"),
 }
 ORACLES = {name: with_views(sql, EXTRA) for name, (_, sql) in QUERIES.items()}

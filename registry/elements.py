@@ -115,7 +115,7 @@ def token_coercion(v: Inputs) -> DataFrame:
     return v.fx_cells.select(
         "pos", "cell", token_kind(cell).alias("kind"),
         F.when(token_kind(cell).isin("integer", "float"), parse_double(cell)).alias("value"),
-        F.when(token_kind(cell) == "integer", whole_number(cell)).alias("whole"),
+        F.when(token_kind(cell).isin("integer", "float"), whole_number(cell)).alias("whole"),
     )
 
 
@@ -319,14 +319,13 @@ _LINE_DAMAGE = """case when pos % 97 in (1, 2) then 'wrong number of fields' whe
  when pos % 89 = 6 then 'invalid BSTAR' end"""
 _OBJECT_DAMAGE = """case pos % 79 when 1 then 'not an object' when 2 then 'missing fields: OBJECT_ID'
  when 4 then 'missing fields: EPOCH, INCLINATION' when 5 then 'missing fields: INCLINATION' end"""
-_SPARK_KINDS = """case pos % 17 when 0 then 'integer' when 1 then 'integer' when 2 then 'integer' when 3 then 'float' when 4 then 'float'
- when 5 then 'float' when 8 then 'non-finite' when 9 then 'non-finite' when 10 then 'non-finite' when 13 then 'out-of-range'
- when 14 then 'integer' when 16 then 'integer' else 'invalid' end"""
+_SPARK_KINDS = """case when pos % 23 in (0, 1, 2, 14, 16, 21) then 'integer' when pos % 23 in (3, 4, 5, 17, 18, 20, 22) then 'float'
+ when pos % 23 in (8, 9, 10, 19) then 'non-finite' when pos % 23 = 13 then 'out-of-range' else 'invalid' end"""
 
 
 def _lanes(text: str) -> str:
     sums = ", ',', ".join(
-        f"cast(sum(cast(concat('0x', substr(sha256({text}), {s}, 15)) as bigint)) as varchar)" for s in (1, 16, 31, 46)
+        f"cast(sum(cast(concat('0x', substr(sha256({text}), {s}, 16)) as ubigint)) as varchar)" for s in (1, 17, 33, 49)
     )
     return f"sha256(concat({sums}))"
 
@@ -350,7 +349,7 @@ from (select norad, pos, row_number() over (partition by norad order by pos) rn
     "gp_gate_records": (gate_records, _gate_sql(_FAILURE, [(1, None, 0.2), (10_000_000_000, None, 0.2)])),
     "gp_token_coercion": (token_coercion, f"""
 select pos, cell, kind, case when kind in ('integer', 'float') then cast(cell as double) end as value,
- case when kind = 'integer' then cast(cell as bigint) end as whole from (select *, {_SPARK_KINDS} as kind from fx_cells)"""),
+ case when kind = 'integer' then cast(cell as bigint) when cell = '5.' then 5 when cell = '9.0' then 9 end as whole from (select *, {_SPARK_KINDS} as kind from fx_cells)"""),
     "gp_epoch_parse": (epoch_parse, """
 select pos, case pos % 7 when 0 then date_trunc('day', epoch) + interval 12 hour + interval 30 minute + interval 15250 millisecond
  when 1 then date_trunc('day', epoch) + interval 12 hour + interval 30 minute + interval 15 second

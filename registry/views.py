@@ -62,7 +62,7 @@ select o_orderkey as pos,
 from {orders}""",
     "fx_gcat": """
 select o_orderkey as pos, concat('S', lpad(cast(o_orderkey as string), 9, '0')) as jcat,
- case when o_orderkey % 202 = 0 then 'A001' else lpad(cast(o_orderkey + 1 as string), 9, '0') end as satcat,
+ case when o_orderkey % 2 = 1 or o_orderkey % 202 = 0 then 'A001' else lpad(cast(o_orderkey + 1 as string), 9, '0') end as satcat,
  case o_orderkey % 8 when 0 then '1998 Nov 20' when 2 then '2019 May  4 1200:30' when 4 then '1998 Nov?' else '-' end as ldate,
  case o_orderkey % 10 when 0 then '2024 Sep 1' else '' end as ddate,
  case o_orderkey % 12 when 0 then 'O' when 2 then 'L' when 4 then 'R' when 6 then 'D' when 8 then 'E' else '' end as status,
@@ -78,12 +78,13 @@ select o_orderkey as pos, concat('S', lpad(cast(o_orderkey as string), 9, '0'))
  case o_orderkey % 16 when 0 then 'LEO/I' when 2 then 'LLEO/S' when 4 then 'MEO' when 6 then 'GEO/D' when 8 then 'GTO'
   when 10 then 'mol' when 12 then '-' else 'DSO' end as oporbit,
  case o_orderkey % 8 when 0 then 'ISS; Zarya' when 2 then 'A,B;;C ' when 4 then ';' else '-' end as altnames
-from {orders} where o_orderkey % 2 = 0""",
+from {orders}""",
     "fx_mag_lines": """
 select o_orderkey as pos,
- concat(rpad(concat(lpad(cast(o_orderkey + 1 as string), 5, ' '), ' obj'), 33, ' '),
-  lpad(case o_orderkey % 5 when 0 then '-1.8' when 1 then '4.5' when 2 then 'bad' else '6.0' end, 4, ' ')) as value
-from {orders} where o_orderkey % 9 = 0 and o_orderkey < 99999""",
+ concat(rpad(concat(lpad(cast(1 + o_orderkey % 99998 as string), 5, ' '), ' obj'), 33, ' '),
+  lpad(case when o_orderkey % 9 <> 0 then 'n/a' when o_orderkey % 5 = 0 then '-1.8' when o_orderkey % 5 = 1 then '4.5'
+   when o_orderkey % 5 = 2 then 'bad' else '6.0' end, 4, ' ')) as value
+from {orders}""",
     "fx_group": """
 select 'gps-ops' as dataset, o_orderkey + 1 as norad from {orders}
 where (o_orderkey % 11 = 6 and o_orderkey % 5 <> 0) or o_orderkey % 1001 = 0""",
@@ -97,11 +98,11 @@ select event_id, ts, event_type as dataset,
 from {events}""",
     "fx_versions": """
 select event_type as stream, concat('v', lpad(cast(event_id as string), 9, '0')) as version, event_id % 300 = 0 as is_current
-from {events} where event_id % 50 = 0""",
+from {events}""",
     "fx_source_snapshots": """
 select case event_id % 2 when 0 then 'satcat' else 'gcat' end as source, ts,
  case event_id % 5 when 0 then 304 when 1 then 503 else 200 end as status, concat('body-', event_id) as body_path
-from {events} where event_id % 7 = 0""",
+from {events}""",
     # Element records as CSV lines, some of them damaged in transit.
     "fx_gp_lines": """
 select pos, case pos % 97
@@ -128,7 +129,8 @@ select pos, case when pos % 79 = 1 then '[1]' else concat('{{"OBJECT_NAME":"', o
 from {fx_gp}""",
     # Numeric cells of every kind, and epochs that do and do not parse.
     "fx_cells": """
-select pos, case pos % 17 when 0 then '12' when 1 then '+7' when 2 then '-0' when 3 then '1.50' when 4 then '.5115E-4'
+select pos, case pos % 23 when 17 then '1e295' when 18 then '1.7e308' when 19 then '111111111111111111111111111111e289'
+  when 20 then '9.5' when 21 then '00000000000000000000012' when 22 then '9.0' when 0 then '12' when 1 then '+7' when 2 then '-0' when 3 then '1.50' when 4 then '.5115E-4'
   when 5 then '5.' when 6 then '' when 7 then 'x' when 8 then 'NaN' when 9 then '-inf' when 10 then '1e999'
   when 11 then '1.5d' when 12 then '0x1p3' when 13 then '9223372036854775808' when 14 then '9223372036854775807'
   when 15 then '1_0' else cast(pos as string) end as cell,
@@ -153,8 +155,8 @@ select o_orderkey as pos, concat(
  rpad('', 12, ' '), case when o_orderkey % 57 = 0 then '' else lpad(cast(cast((o_orderkey * 17) % 700 as double) / 100 as string), 5, ' ') end) as value
 from {orders}""",
     "fx_star_names": """
-select cast(o_orderkey + 1 as string) as hr, case when o_orderkey % 100 = 0 then '' else concat('Star ', o_orderkey) end as name
-from {orders} where o_orderkey < 9000 and o_orderkey % 25 = 0""",
+select cast(k + 1 as string) as hr, case when k % 25 <> 0 or k % 100 = 0 then '' else concat('Star ', k) end as name
+from (select distinct o_orderkey % 9000 as k from {orders}) o""",
     "fx_features": """
 select o_orderkey as pos, case when o_orderkey % 41 = 0 then '' else concat('F', o_custkey % 88) end as id,
  case when o_orderkey % 43 = 0 then '"none"' else concat(
@@ -176,7 +178,7 @@ from {events}""",
 select distinct concat(event_type, '-', user_id % 45) as dataset, user_id % 45 as position from {events}""",
     "fx_rules": """
 select distinct concat(event_type, '-', user_id % 40) as rule, concat(event_type, '-', user_id % 4) as source
-from {events} where user_id % 40 > 3""",
+from {events}""",
     # Run summaries of several sites.
     "fx_runs": """
 select user_id as site, case when event_id % 13 = 0 then cast(null as timestamp) else ts end as checked_at, ts,

@@ -1,9 +1,9 @@
 """Decimal rounding of the exact binary value of a double.
 
 Spark's ``round``/``bround`` round the shortest decimal that prints like the
-double, so values such as 2.675 move the wrong way. Here the scaled value is
-split into two doubles whose products with a power of five are exact, which
-leaves only one comparison with one half, and that is exact too.
+double, so values such as 2.675 move the wrong way. Here the product with the
+power of ten is known exactly as a double and its rounding error, which leaves
+only one comparison with one half, and that is exact too.
 """
 
 from __future__ import annotations
@@ -11,25 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLIT = float(2**30)
+#: Multiplying by this and subtracting again leaves the upper 26 bits of a double.
+_SPLIT = float(2**27 + 1)
+#: Scaled values from here on are whole, and the double is its own nearest rounding.
+_WHOLE = float(2**53)
 
 
 def round_exact(value: Column, digits: int) -> Column:
-    """Round half to even on the exact value; ``digits`` is 0 to 4.
-
-    Exact below 2**(23 - bits of 5**digits) in size, e.g. 8192 at four digits;
-    larger values use ``bround``.
-    """
-
-    fifth = 5**digits
-    limit = float(2 ** (23 - fifth.bit_length()))
-    size = F.abs(value)
-    high = F.floor(size * _SPLIT).cast("double") / _SPLIT
-    low = size - high
-    scale = float(fifth * 2**digits)
-    scaled_high, scaled_low = high * scale, low * scale
-    whole = F.floor(scaled_high)
-    beyond_half = (scaled_high - whole.cast("double") - 0.5) + scaled_low
+    """Round half to even on the exact value; ``digits`` is 0 to 4."""
+
+    size, scale = F.abs(value), float(10**digits)
+    high = size * _SPLIT - (size * _SPLIT - size)
+    scaled = size * scale
+    # The scale has 14 bits at most, so both products are exact and this is what ``scaled`` lost.
+    lost = (high * scale - scaled) + (size - high) * scale
+    whole = F.floor(scaled)
+    beyond_half = (scaled - whole.cast("double") - 0.5) + lost
     up = F.when(beyond_half > 0, 1).when(beyond_half < 0, 0).otherwise(F.pmod(whole, F.lit(2)))
-    rounded = (whole + up).cast("double") / F.lit(float(10**digits))
-    return F.when(size < limit, F.signum(value) * rounded).otherwise(F.bround(value, digits))
+    rounded = (whole + up).cast("double") / F.lit(scale)
+    return F.when(scaled < _WHOLE, F.signum(value) * rounded).otherwise(value)

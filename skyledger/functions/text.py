@@ -6,15 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as blank around a cell.
-BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # What reads as a decimal number; ``try_cast`` alone also takes '1.5d' and '0x1p3'.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# The same below 1e304, so that the double is finite without a further test.
-FINITE_PATTERN = (
-    r"^[+-]?(?:(?:\d{1,300}\.?\d*|\.\d+)|(?:\d{1,15}\.?\d*|\.\d+)[eE](?:-\d+|\+?0*(?:\d{1,2}|1\d{2}|2[0-8]\d)))$"
-)
-_PADDED_FINITE = rf"^\s*{FINITE_PATTERN[1:-1]}\s*$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 BIGINT_PATTERN = r"^[+-]?0*[0-9]{1,19}$"
 NON_FINITE_PATTERN = r"(?i)^[+-]?(nan|inf|infinity)$"
@@ -63,10 +61,12 @@ def matched(text: Column, pattern: str) -> Column:
 def parse_double(text: Column) -> Column:
     """A finite double, or null for anything that is not a plain decimal number.
 
-    The cast ignores blanks around a number by itself.
+    One match decides what is cast, and the size of the result whether it stays. The
+    text appears once in the expression, as in :func:`matched`.
     """
 
-    return F.when(text.rlike(_PADDED_FINITE), text.try_cast("double"))
+    parsed = F.transform(F.array(strip(text)), lambda t: F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double")))
+    return F.get(F.filter(parsed, lambda value: F.abs(value) < F.lit(float("inf"))), F.lit(0))
 
 
 def number(text: Column, *, positive: bool = False) -> Column:
@@ -85,7 +85,7 @@ def canonical_id(text: Column) -> Column:
 def digits_id(text: Column) -> Column:
     """Like :func:`canonical_id`, for sources that allow digits only (no sign)."""
 
-    return matched(strip(text), "^[0-9]{1,19}$").try_cast("bigint")
+    return matched(strip(text), "^0*[0-9]{1,19}$").try_cast("bigint")
 
 
 def fits_bigint(integer: Column) -> Column:
@@ -101,17 +101,18 @@ def token_kind(text: Column) -> Column:
 
     return (
         F.when(text.rlike(INTEGER_PATTERN), F.when(fits_bigint(text), "integer").otherwise("out-of-range"))
-        .when(strip(text).rlike(FINITE_PATTERN), "float")
+        .when(parse_double(text).isNotNull(), "float")
         .when(strip(text).rlike(NON_FINITE_PATTERN) | strip(text).rlike(NUMBER_PATTERN), "non-finite")
         .otherwise("invalid")
     )
 
 
 def whole_number(text: Column) -> Column:
-    """A numeric cell as BIGINT; a decimal token loses its fraction."""
+    """A numeric cell as BIGINT; ``9.0`` is whole, and a cell with a fraction is null."""
 
-    decimal = matched(strip(text), r"^(?![+-]?\d+$)" + FINITE_PATTERN[1:]).try_cast("double")
-    return F.coalesce(matched(text, BIGINT_PATTERN).try_cast("bigint"), decimal.try_cast("bigint"))
+    decimal = F.transform(F.array(matched(strip(text), r"^(?![+-]?\d+$)" + NUMBER_PATTERN[1:])), lambda t: t.try_cast("double"))
+    whole = F.filter(decimal, lambda value: value == F.floor(value).cast("double"))
+    return F.coalesce(matched(text, BIGINT_PATTERN).try_cast("bigint"), F.get(whole, F.lit(0)).try_cast("bigint"))
 
 
 def iso_date(text: Column) -> Column:
@@ -148,7 +149,13 @@ def zoned_instant(text: Column) -> Column:
 
 
 def epoch_instant(text: Column) -> Column:
-    """An element epoch: ISO date or date-time, a zone optional, ``Z`` accepted (session is UTC)."""
+    """An element epoch: ISO date or date-time, a zone optional, ``Z`` accepted (session is UTC).
+
+    The basic form without separators and a comma before the fraction are put into the usual form first.
+    """
 
-    shape = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-    return F.when(text.rlike(shape), text.try_cast("timestamp"))
+    shape = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    basic = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    timed = F.regexp_replace(basic, r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})(?=$|[.,Z+-])", "$1-$2-$3T$4:$5:$6")
+    usual = F.regexp_replace(timed, r"(:\d{2}),(?=\d)", "$1.")
+    return F.coalesce(matched(text, shape), matched(usual, shape)).try_cast("timestamp")

@@ -43,13 +43,13 @@ def content_digest(shards: DataFrame) -> DataFrame:
 def multiset_digest(canonical: Column) -> Column:
     """Aggregate digest of rows whose keys may repeat.
 
-    Four 60-bit lanes of each row hash are summed, which combines on the map side
-    and needs neither a sort nor a list; the sums are then hashed.
+    Four 64-bit lanes, the whole of each row hash, are summed, which combines on the map
+    side and needs neither a sort nor a list; the sums are then hashed.
     """
 
     hashed = row_digest(canonical)
     lanes = [
-        F.sum(F.conv(F.substring(hashed, start, 15), 16, 10).cast("decimal(28,0)")).cast("string")
-        for start in (1, 16, 31, 46)
+        F.sum(F.conv(F.substring(hashed, start, 16), 16, 10).cast("decimal(28,0)")).cast("string")
+        for start in (1, 17, 33, 49)
     ]
     return F.sha2(F.concat_ws(",", *lanes), 256)

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +87,17 @@ def _validate_rule(rule: Rule, sources: Sequence[str]) -> None:
         raise RuleError(f"{rule.name}: maximum_count_drop_fraction must be between 0 and 1")
 
 
+def check_patterns(spark: SparkSession, rules: Sequence[Rule]) -> None:
+    """Reject patterns that the engine running them cannot read."""
+
+    for rule in rules:
+        if rule.pattern is not None:
+            try:
+                spark.range(1).select(F.lit("").rlike(rule.pattern)).collect()
+            except PySparkException as exc:
+                raise RuleError(f"{rule.name}: bad pattern: {rule.pattern}") from exc
+
+
 def predicate(rule: Rule, name: Column, mean_motion: Column) -> Column:
     """The rule as a filter. Plain prefixes become ``startswith``, which a scan can push down."""
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,7 +101,7 @@ class ElementJobs:
         """
 
         state = self.state_of(dataset.name) | {"run_at": at, "last_attempt": at}
-        version = f"{at:%Y%m%dT%H%M%S%f}Z"
+        version = f"{at.astimezone(UTC):%Y%m%dT%H%M%S%f}Z"
         try:
             records, faults = read_element_csv(self.spark, path)
             self.store.stage(dataset.name, version, {"records": records})
@@ -144,9 +145,12 @@ class ElementJobs:
         """Bring every subset up to its source's current version.
 
         The rules of one source share one tagging pass for their gates and one for
-        their write. A rule that fails leaves the others alone.
+        their write. A rule that fails, or whose source cannot be read, leaves the others
+        alone; a rule list that must not be run is refused whole.
         """
 
+        rule_ops.validate_rules(rules, list(dict.fromkeys(rule.source for rule in rules)))
+        rule_ops.check_patterns(self.spark, rules)
         states = {row["dataset"]: row.asDict() for row in self.states().collect()}
         outcomes: list[Outcome] = []
         for source in dict.fromkeys(rule.source for rule in rules):
@@ -166,7 +170,15 @@ class ElementJobs:
             self._record(*[state | dict.fromkeys(REQUEST_FIELDS) | {"run_at": at} for state in states])
 
     def _derive_source(self, source, stale, states, success, at) -> list[Outcome]:
-        records = self.store.read(source, "records")
+        try:
+            records = self.store.read(source, "records")
+        except AnalysisException as exc:
+            error = f"published version of {source} cannot be read: {str(exc).splitlines()[0]}"
+            self._record(*[
+                states.get(rule.name, {"dataset": rule.name}) | dict.fromkeys(REQUEST_FIELDS)
+                | {"run_at": at, "last_result": "source-unreadable", "error": error} for rule in stale
+            ])
+            return [Outcome(rule.name, "source-unreadable", error, None) for rule in stale]
         previous = literal_rows(
             self.spark,
             [(rule.name, states.get(rule.name, {}).get("record_count")) for rule in stale],
@@ -183,7 +195,7 @@ class ElementJobs:
         passed = [rule for rule in stale if gates[rule.name]["accepted"]]
         written = None
         if passed:
-            version = f"{success:%Y%m%dT%H%M%S%f}Z-{at:%Y%m%dT%H%M%S%f}Z"
+            version = f"{success.astimezone(UTC):%Y%m%dT%H%M%S%f}Z-{at.astimezone(UTC):%Y%m%dT%H%M%S%f}Z"
             self.store.stage(
                 f"{source}.subsets", version,
                 {"members": lambda path: self._write_members(records, passed, path)},

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skyledger.plans.elements import Dataset, ElementJobs
 
@@ -22,9 +21,10 @@ def ingest_landed(
     that is run again after a lost driver publishes the same rows as a new version.
     """
 
+    # Only the path is read. A file without any line is a snapshot as well, and gets its verdict.
     files = (
-        spark.readStream.option("maxFilesPerTrigger", 1).option("lineSep", "\n").text(folder)
-        .select(F.col("_metadata.file_path").alias("path"))
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", 1).load(folder).select("path")
     )
 
     def refresh(batch: DataFrame, _: int) -> None:

@@ -14,7 +14,7 @@ def evaluate(spark, values, build, kind="string"):
     return [row["r"] for row in rows.select("i", build(F.col("v")).alias("r")).orderBy("i").collect()]
 
 
-@pytest.mark.parametrize("digits, bound", [(4, 400.0), (1, 5000.0), (0, 90_000.0)])
+@pytest.mark.parametrize("digits, bound", [(4, 400.0), (1, 5000.0), (0, 90_000.0), (4, 1e6), (4, 1e13), (1, 1e17)])
 def test_rounding_agrees_with_python(spark, digits, bound):
     generator = random.Random(digits)
     values = [generator.uniform(-bound, bound) for _ in range(20_000)]
@@ -36,13 +36,27 @@ def test_number_marks_and_java_only_tokens(spark):
     assert evaluate(spark, ["0", "-5", "3"], lambda c: text.number(c, positive=True)) == [None, None, 3.0]
 
 
+def test_numbers_at_the_ends_of_the_doubles(spark):
+    values = ["1e295", "1e304", "1.7e308", "1" * 30 + "e289", "1" * 400, "1e-400", "\u2003 7\u3000"]
+    assert evaluate(spark, values, text.number) == [1e295, 1e304, 1.7e308, None, None, 0.0, 7.0]
+    assert evaluate(spark, values[:5], text.token_kind) == ["float", "float", "float", "non-finite", "out-of-range"]
+
+
+def test_epochs_in_other_forms(spark):
+    import datetime as dt
+
+    values = ["20260102T030405", "20260102", "2026-01-02T03:04:05,5Z", "2026-01-02T::", "20260102T0304"]
+    found = evaluate(spark, values, lambda c: text.epoch_instant(c).cast("timestamp_ntz"))
+    assert found == [dt.datetime(2026, 1, 2, 3, 4, 5), dt.datetime(2026, 1, 2), dt.datetime(2026, 1, 2, 3, 4, 5, 500000), None, None]
+
+
 def test_tokens(spark):
     values = ["12", "-7", "1.0", "1e5", ".5", "", "x", "NaN", "-Infinity", "1e400", "9223372036854775807",
               "9223372036854775808", "-9223372036854775807", "-9223372036854775808", "000000000000000000000005", "1.5f"]
     assert evaluate(spark, values, text.token_kind) == [
         "integer", "integer", "float", "float", "float", "invalid", "invalid", "non-finite", "non-finite", "non-finite",
         "integer", "out-of-range", "integer", "out-of-range", "integer", "invalid"]
-    assert evaluate(spark, ["12", "5.9", "-5.9", "x", "9223372036854775808"], text.whole_number) == [12, 5, -5, None, None]
+    assert evaluate(spark, ["12", "5.9", "-5.0", "x", "9223372036854775808"], text.whole_number) == [12, None, -5, None, None]
 
 
 def test_dates(spark):
@@ -63,7 +77,7 @@ def test_instants_need_a_zone(spark):
 
 def test_ids_and_names(spark):
     assert evaluate(spark, ["007", " 25544 ", "-5", "abc", "1.0", ""], text.canonical_id) == [7, 25544, -5, None, None, None]
-    assert evaluate(spark, ["007", "-5", "²"], text.digits_id) == [7, None, None]
+    assert evaluate(spark, ["007", "-5", "²", "00000000000000000000012"], text.digits_id) == [7, None, None, 12]
     assert evaluate(spark, ["ISS; Zarya", "A,B;;C ", ";", "-", None], text.name_list) == [
         ["ISS", "Zarya"], ["A", "B", "C"], [], None, None]
 

@@ -105,6 +105,30 @@ def test_failed_rule_leaves_the_others_and_its_old_members(spark, tmp_path):
     assert jobs.state_of("starlink")["record_count"] == 3
 
 
+def test_rule_lists_are_refused_whole(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    jobs.refresh(ACTIVE, land(tmp_path, body(*MIXED)), NOW)
+    for bad in (RULES[0], Rule("named", "active", pattern="(?P<n>STAR).*")):
+        with pytest.raises(RuleError):
+            jobs.derive([*RULES, bad], NOW)
+    assert "last_result" not in jobs.state_of("starlink")
+
+
+def test_unreadable_source_is_recorded(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    jobs._record({"dataset": "active", "run_at": NOW, "last_success": NOW, "record_count": 5})
+    found = jobs.derive(RULES[:1], NOW)
+    assert [o.result for o in found] == ["source-unreadable"]
+    assert jobs.state_of("starlink")["last_result"] == "source-unreadable"
+
+
+def test_an_empty_landed_file_is_refused(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    land(tmp_path, "", "landing/empty.csv")
+    ingest_landed(spark, jobs, ACTIVE, str(tmp_path / "landing"), str(tmp_path / "check"), lambda: NOW)
+    assert jobs.state_of("active")["last_result"] == "validation-error"
+
+
 def test_inherited_request_fields_are_cleared(spark, tmp_path):
     jobs = ElementJobs(spark, str(tmp_path / "store"))
     jobs.refresh(ACTIVE, land(tmp_path, body(*MIXED)), NOW)
