@@ -17,7 +17,7 @@ from skyledger.operators.literals import literal_rows
 from skyledger.operators.quality import element_checks, profile
 from skyledger.operators.rules import Rule
 from skyledger.operators.state import REQUEST_FIELDS
-from skyledger.sinks.release import ReleaseStore
+from skyledger.sinks.release import PublishError, ReleaseStore
 from skyledger.sinks.tables import append_rows, newest_rows
 from skyledger.sources.elements import DamagedSource, csv_gate, read_element_csv
 
@@ -172,7 +172,7 @@ class ElementJobs:
     def _derive_source(self, source, stale, states, success, at) -> list[Outcome]:
         try:
             records = self.store.read(source, "records")
-        except AnalysisException as exc:
+        except (AnalysisException, PublishError) as exc:
             error = f"published version of {source} cannot be read: {str(exc).splitlines()[0]}"
             self._record(*[
                 states.get(rule.name, {"dataset": rule.name}) | dict.fromkeys(REQUEST_FIELDS)

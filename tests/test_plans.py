@@ -122,13 +122,6 @@ def test_unreadable_source_is_recorded(spark, tmp_path):
     assert jobs.state_of("starlink")["last_result"] == "source-unreadable"
 
 
-def test_an_empty_landed_file_is_refused(spark, tmp_path):
-    jobs = ElementJobs(spark, str(tmp_path / "store"))
-    land(tmp_path, "", "landing/empty.csv")
-    ingest_landed(spark, jobs, ACTIVE, str(tmp_path / "landing"), str(tmp_path / "check"), lambda: NOW)
-    assert jobs.state_of("active")["last_result"] == "validation-error"
-
-
 def test_inherited_request_fields_are_cleared(spark, tmp_path):
     jobs = ElementJobs(spark, str(tmp_path / "store"))
     jobs.refresh(ACTIVE, land(tmp_path, body(*MIXED)), NOW)
