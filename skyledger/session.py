@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from uuid import uuid4
 
@@ -53,6 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="skyledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder
 
