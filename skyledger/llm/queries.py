@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, contamination, jaccard, licenses, neighbours, pieces, pii, quality, warc, weighting
+from skyledger.llm import (
+    chat, contamination, jaccard, licenses, neighbours, pieces, pii, quality, resampling, sharding, spelling, warc, weighting,
+)
 from skyledger.llm.common import fold_of, table
 from skyledger.llm.models import piece_model
 
@@ -81,10 +83,32 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op11_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of eight shards of near equal size."""
+
+    placed = sharding.document_shards(table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequent words of all documents, each with the form it is a variant of."""
+
+    return spelling.spelling_forms(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the tenth that is drawn."""
+
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_context_tree_weighting, op2_byte_network, op3_license_windows,
     op4_sentencepiece_offsets, op5_pii_weak_supervision, op6_chat_round_trip, op7_signature_trees, op8_benchmark_passages, op9_warc_archives,
-    op10_learned_partitions,
+    op10_learned_partitions, op11_kd_shards, op12_spelling_forms, op13_importance_resampling,
 )}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
