@@ -13,11 +13,12 @@ from skyledger.operators import gates, merge
 from skyledger.operators.dedup import last_wins
 from skyledger.operators.digest import canonical_json, content_digest, multiset_digest, shard_digests
 from skyledger.operators.literals import literal_rows
+from skyledger.operators.prefix import ranked
 from skyledger.sinks import artifacts
 from skyledger.sources.catalogues import (
     GCAT_USED, clean_gcat, clean_magnitudes, clean_satcat, source_rows, split_tab_lines,
 )
-from skyledger.sources.sky import figure_lines, parse_stars
+from skyledger.sources.sky import by_magnitude, figure_lines, parse_stars
 
 AS_OF = date(2025, 6, 1)
 GCAT_HEADER = "#JCAT\tSatcat\t" + "\t".join(
@@ -122,6 +123,12 @@ def star_positions(v: Inputs) -> DataFrame:
     return parse_stars(v.fx_star_lines, v.fx_star_names)
 
 
+def star_list(v: Inputs) -> DataFrame:
+    """The published order of the stars: by magnitude, equal ones as in the file."""
+
+    return by_magnitude(star_positions(v)).select("rank", "hr", "name", "mag")
+
+
 def figures(v: Inputs) -> DataFrame:
     return figure_lines(v.fx_features).select("pos", "id", "line", F.array_join(F.transform("points", lambda p: p.cast("string")), " ").alias("points"))
 
@@ -183,6 +190,12 @@ def catalog_index(v: Inputs) -> DataFrame:
     return artifacts.index_rows(kept(v))
 
 
+def catalog_index_order(v: Inputs) -> DataFrame:
+    """The place of each record in the published index."""
+
+    return ranked(kept(v).select("norad", "name"), ["norad"])
+
+
 def catalog_index_json(v: Inputs) -> DataFrame:
     index = artifacts.index_rows(kept(v))
     return index.select("norad", artifacts.index_json(index).alias("document"))
@@ -407,6 +420,7 @@ from (select pos, {_MASS} as mass_kg, {_DIMS} as d from fx_gcat)"""),
     "mag_clean": (mag_clean, "select norad, stdMag from sx_mag"),
     "star_positions": (star_positions, """
 select pos, hr, name, bayer, cast(printf('%.4f', ra0) as double) as ra, cast(printf('%.4f', dec0) as double) as dec, mag from sx_star_rows"""),
+    "star_list": (star_list, "select row_number() over (order by mag, pos) as rank, hr, name, mag from sx_star_rows"),
     "figure_lines": (figures, "select pos, id, line, array_to_string(list_transform(p, lambda x: cast(x as varchar)), ' ') as points from sx_lines"),
     "catalog_last_wins": (catalog_last_wins, """
 select norad, pos, object_name from (select try_cast(norad_cat_id as bigint) as norad, pos, object_name,
@@ -427,6 +441,7 @@ select case_id, records, error is null as accepted, error from (select c.case_id
 select pos, g.mag as mag, g.basis as basis from (select pos, {_guess(_opt('object_name'), 'cast(' + _iso('launch_date') + ' as varchar)')} as g from fx_satcat)"""),
     "catalog_index": (catalog_index, f"""
 select cast(norad as varchar) as norad, {", ".join(_DENSE)}, case when magSource = 'estimate' then 1 end as magEst, dataStatus from sx_kept"""),
+    "catalog_index_order": (catalog_index_order, "select norad, name, row_number() over (order by norad) as rank from sx_kept"),
     "catalog_index_json": (catalog_index_json, f"""
 select cast(norad as varchar) as norad, concat(left(d, len(d) - 1), case when magSource = 'estimate' then ',"magEst":1' else '' end,
  case when dataStatus is not null then concat(',"dataStatus":"', dataStatus, '"') else '' end, '}}') as document

@@ -72,7 +72,7 @@ def state_current(v: Inputs) -> DataFrame:
 
 def state_attempt_order(v: Inputs) -> DataFrame:
     ordered = state.attempt_order(states(v), v.fx_expected)
-    return ordered.select("dataset", "position", "last_attempt")
+    return ordered.select("dataset", "position", "last_attempt", "rank")
 
 
 def state_due(v: Inputs) -> DataFrame:
@@ -240,7 +240,9 @@ select run, count(*) filter (where not derived and outcome not in ('skipped', 'b
 from (select date_trunc('hour', ts) as run, event_id % 4 = 3 as derived, case event_id % 21 when 5 then 'skipped' when 6 then 'budget-skipped'
  else case {_CLASSIFY} when 'received' then 'published' else {_CLASSIFY} end end as outcome from fx_request_log) group by run"""),
     "state_current": (state_current, f"select {_STATE_COLUMNS} from sx_states"),
-    "state_attempt_order": (state_attempt_order, "select e.dataset, position, last_attempt from fx_expected e left join sx_states s on s.dataset = e.dataset"),
+    "state_attempt_order": (state_attempt_order, """
+select e.dataset, position, last_attempt, row_number() over (order by last_attempt nulls first, position, e.dataset) as rank
+from fx_expected e left join sx_states s on s.dataset = e.dataset"""),
     "state_due": (state_due, f"""
 select dataset, last_attempt, retry_after, coalesce(retry_after, last_attempt + interval 7500 second) as due_at from sx_states
 where coalesce(retry_after, last_attempt + interval 7500 second) is null or coalesce(retry_after, last_attempt + interval 7500 second) <= {_NOW}"""),

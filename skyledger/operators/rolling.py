@@ -1,54 +1,42 @@
-"""Trailing sums over an event log without wide window partitions."""
+"""Trailing sums over an event log, however dense it is."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.prefix import running_totals
+
 MICROS = 1_000_000
 
 
 def trailing_bytes(
-    log: DataFrame, *, keys: Sequence[str] = (), at: str = "ts", amount: str = "bytes",
-    window_seconds: int = 86_400, bucket_seconds: int = 600,
+    log: DataFrame, *, keys: Sequence[str] = (), at: str = "ts", amount: str = "bytes", window_seconds: int = 86_400,
 ) -> DataFrame:
     """``used`` bytes in the window ending at each logged instant, per key (or over all).
 
     The window leaves out an entry exactly ``window_seconds`` old. Each instant
     counts its bytes in and, one window later, out again, so the trailing sum is
-    a running sum of signed amounts. That runs inside short time buckets and
-    starts from a carry-over: equal instants collapse before the first shuffle
-    and the carry-over table has one row per bucket of time, so neither a busy
-    key nor one without keys at all ends up in a single task.
+    a running sum of signed amounts. Equal instants add up before the first shuffle; the
+    running sum is taken over ranges of instants, so neither a busy key nor one without keys,
+    nor all entries in one minute, end up in a single task. Entries without an instant
+    count for nothing, and an unknown amount counts as zero.
     """
 
     keys = list(keys)
     instant = F.unix_micros(F.col(at).cast("timestamp"))
-    arrivals = log.select(*keys, instant.alias("_at"), F.col(amount).alias("_in"))
-    arrivals = arrivals.groupBy(*keys, "_at").agg(F.sum("_in").alias("_in"))
-    signed = F.explode(
-        F.array(
-            F.struct(F.col("_at").alias("_t"), F.col("_in").alias("_delta"), F.lit(True).alias("_real")),
-            F.struct((F.col("_at") + window_seconds * MICROS).alias("_t"), (-F.col("_in")).alias("_delta"),
-                     F.lit(False).alias("_real")),
-        )
-    )
-    steps = arrivals.select(*keys, signed.alias("_s")).select(*keys, "_s.*")
-    bucket = F.call_function("div", F.col("_t") - F.pmod("_t", F.lit(bucket_seconds * MICROS)),
-                             F.lit(bucket_seconds * MICROS))
-    steps = steps.withColumn("_bucket", bucket)
-
-    totals = steps.groupBy(*keys, "_bucket").agg(F.sum("_delta").alias("_net"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_bucket", F.coalesce(F.sum("_net").over(before), F.lit(0)).alias("_carry"))
-
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    running = steps.withColumn("_run", F.sum("_delta").over(within)).filter("_real")
-    joined = running.join(carried, [*keys, "_bucket"])
+    amount_in = F.coalesce(F.col(amount), F.lit(0))
+    signed = F.explode(F.array(
+        F.struct(instant.alias("_t"), amount_in.alias("_delta"), F.lit(True).alias("_real")),
+        F.struct((instant + window_seconds * MICROS).alias("_t"), (-amount_in).alias("_delta"), F.lit(False).alias("_real")),
+    ))
+    steps = log.select(*keys, signed.alias("_s")).select(*keys, "_s.*").filter("_t is not null")
+    steps = steps.groupBy(*keys, "_t").agg(F.sum("_delta").alias("_delta"), F.bool_or("_real").alias("_real"))
+    running = running_totals(steps, ["_t"], {"used": F.col("_delta")}, keys=keys, label="steps")
     stamp = F.timestamp_micros("_t").cast(log.schema[at].dataType)
-    return joined.select(*keys, stamp.alias(at), (F.col("_run") + F.col("_carry")).alias("used"))
+    return running.filter("_real").select(*keys, stamp.alias(at), "used")
 
 
 def remaining_bytes(used: Column, budget: int) -> Column:

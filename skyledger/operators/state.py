@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.ages import next_attempt
 from skyledger.functions.responses import classify_response, expected_bytes
 from skyledger.functions.text import zoned_instant
+from skyledger.operators.prefix import ranked
 
 # The fields only a request can set.
 REQUEST_FIELDS = ("last_http_status", "retry_after", "last_response_bytes")
@@ -27,10 +28,13 @@ def current_state(log: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def attempt_order(states: DataFrame, configured: DataFrame) -> DataFrame:
-    """Least recently attempted first, never attempted ahead of all, ties by ``position``."""
+    """Each dataset's turn as ``rank``: least recently attempted first, never attempted ahead of all.
+
+    Ties go by ``position``, then by name.
+    """
 
     joined = configured.join(states, "dataset", "left")
-    return joined.orderBy(F.col("last_attempt").asc_nulls_first(), F.col("position").asc())
+    return ranked(joined, [F.col("last_attempt").asc_nulls_first(), F.col("position").asc(), F.col("dataset").asc()])
 
 
 def due_datasets(states: DataFrame, as_of: Column, interval_seconds: int) -> DataFrame:

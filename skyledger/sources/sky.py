@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.orbits import declination_degrees, right_ascension_degrees
 from skyledger.functions.rounding import round_exact
 from skyledger.functions.text import number, optional_string, strip
+from skyledger.operators.prefix import ranked
 from skyledger.operators.stages import computed_once
 from skyledger.sources.position import read_lines, without_return
 
@@ -67,9 +68,9 @@ def read_stars(spark: SparkSession, catalogue: str, names: str) -> DataFrame:
 
 
 def by_magnitude(stars: DataFrame) -> DataFrame:
-    """Brightest first; equal magnitudes keep file order."""
+    """Brightest first, with the place as ``rank``; equal magnitudes keep file order."""
 
-    return stars.orderBy("mag", "pos")
+    return ranked(stars, ["mag", "pos"], label="stars").orderBy("rank")
 
 
 def _point(text: Column, part: int) -> Column:
