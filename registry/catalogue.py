@@ -16,9 +16,9 @@ from skyledger.operators.literals import literal_rows
 from skyledger.operators.prefix import ranked
 from skyledger.sinks import artifacts
 from skyledger.sources.catalogues import (
-    GCAT_USED, clean_gcat, clean_magnitudes, clean_satcat, source_rows, split_tab_lines,
+    GCAT_USED, clean_gcat, clean_magnitudes, clean_satcat, gcat_files, satcat_files, source_rows, split_tab_lines,
 )
-from skyledger.sources.sky import by_magnitude, figure_lines, parse_stars
+from skyledger.sources.sky import by_magnitude, features_of, figure_documents, figure_lines, parse_stars
 
 AS_OF = date(2025, 6, 1)
 GCAT_HEADER = "#JCAT\tSatcat\t" + "\t".join(
@@ -96,6 +96,32 @@ def gcat_tsv_lines(v: Inputs) -> DataFrame:
     return rows.select("norad", "launchDate", "massKg", "orbitClass", F.array_join("altNames", "|").alias("names"))
 
 
+def _files(lines: DataFrame) -> DataFrame:
+    """Lines as a reader would give them; the mark becomes a byte that is not UTF-8."""
+
+    damaged = F.expr("cast(concat(cast(replace(value, '~!', '') as binary), X'FF') as string)")
+    value = F.when(F.col("value").contains("~!"), damaged).otherwise(F.col("value"))
+    return lines.select(value.alias("value"), F.struct("file", F.lit(0).cast("long").alias("block"), F.col("pos").alias("row")).alias("pos"))
+
+
+def satcat_files_clean(v: Inputs) -> DataFrame:
+    rows, _ = satcat_files(_files(v.fx_satcat_files))
+    return clean_satcat(rows).select("norad", "cospar", "name", "country", "objectType", "decayDate", "rcsValue_m2")
+
+
+def satcat_file_faults(v: Inputs) -> DataFrame:
+    return satcat_files(_files(v.fx_satcat_files))[1]
+
+
+def gcat_files_clean(v: Inputs) -> DataFrame:
+    rows, _ = gcat_files(_files(v.fx_gcat_files))
+    return clean_gcat(rows).select("norad", "owner", "country", "massKg", "orbitClass")
+
+
+def gcat_file_faults(v: Inputs) -> DataFrame:
+    return gcat_files(_files(v.fx_gcat_files))[1]
+
+
 def gcat_dates(v: Inputs) -> DataFrame:
     return v.fx_gcat.select("pos", text.worded_date(F.col("ldate")).alias("launch_date"),
                             text.worded_date(F.col("ddate")).alias("decay_date"))
@@ -133,6 +159,19 @@ def figures(v: Inputs) -> DataFrame:
     return figure_lines(v.fx_features).select("pos", "id", "line", F.array_join(F.transform("points", lambda p: p.cast("string")), " ").alias("points"))
 
 
+def figure_files(v: Inputs) -> DataFrame:
+    """Figures of whole feature collections, a thousand orders a file, nested as they are published."""
+
+    feature = F.concat(F.lit('{"id":"'), "id", F.lit('","geometry":{"coordinates":'), "coordinates", F.lit("}}"))
+    rows = v.fx_features.select(F.floor(F.col("pos") / 1000).alias("file"), "pos", feature.alias("feature"))
+    members = F.transform(F.array_sort(F.collect_list(F.struct("pos", "feature"))), lambda row: row["feature"])
+    documents = rows.groupBy("file").agg(F.concat(F.lit('{"features":['), F.array_join(members, ","), F.lit("]}")).alias("value"))
+    lines = figure_lines(features_of(documents), keys=["file"])
+    text = F.transform("lines", lambda points: F.array_join(F.transform(points, lambda p: p.cast("string")), " "))
+    nested = figure_documents(lines, keys=["file"], piece_lines=8)
+    return nested.select("file", "id", "piece", F.size("lines").alias("n"), F.array_join(text, "|").alias("lines"))
+
+
 def catalog_last_wins(v: Inputs) -> DataFrame:
     rows = v.fx_satcat.select(text.canonical_id(F.col("norad_cat_id")).alias("norad"), "pos", "object_name")
     return last_wins(rows.filter("norad is not null"), "norad", "pos")
@@ -410,6 +449,21 @@ select pos, o is not null as described, o.periodMinutes as periodMinutes, o.incl
     "gcat_tsv_lines": (gcat_tsv_lines, """
 select norad, launchDate, massKg, orbitClass, case when pos % 500 <> 4 then array_to_string(altNames, '|') end as names
 from sx_gcat where pos % 500 not in (0, 2)"""),
+    "satcat_files_clean": (satcat_files_clean, _LATEST.replace("{inner}", f"""
+select try_cast(trim(norad_cat_id) as bigint) as norad, pos, {_opt('object_id')} as cospar,
+ case when pos % 12 = 0 then concat(trim(object_name), case when object_name like '% ' then ' ' else '' end, ', "X" Y') else {_opt('object_name')} end as name,
+ case when pos % 7 in (1, 5) then null else {_opt('owner')} end as country, {_TYPES} as objectType, {_iso('decay_date')} as decayDate, {_num('rcs')} as rcsValue_m2
+from fx_satcat where pos % 7 in (0, 1, 5, 6) and try_cast(trim(norad_cat_id) as bigint) is not null""").replace("exclude (rn)", "exclude (rn, pos)").replace("order by pos desc", "order by pos % 7 desc, pos desc")),
+    "satcat_file_faults": (satcat_file_faults, """
+select distinct concat('f', pos % 7) as file, case pos % 7 when 2 then 'not UTF-8' when 3 then 'satellite catalogue: missing columns: DECAY_DATE'
+ when 4 then 'a quoted cell is left open' end as fault from fx_satcat"""),
+    "gcat_files_clean": (gcat_files_clean, _LATEST.replace("{inner}", f"""
+select norad, pos, case when file in (0, 1) then {_opt('owner')} end as owner, case file when 4 then {_opt('owner')} end as country, {_num('totmass', True)} as massKg,
+ case file when 0 then {_CLASS} end as orbitClass
+from (select *, pos % 5 as file, try_cast(satcat as bigint) as norad from fx_gcat where pos % 5 in (0, 1, 4))
+where norad is not null""").replace("exclude (rn)", "exclude (rn, pos)").replace("order by pos desc", "order by pos % 5 desc, pos desc")),
+    "gcat_file_faults": (gcat_file_faults, """
+select distinct concat('g', pos % 5) as file, case pos % 5 when 2 then 'not UTF-8' when 3 then 'general catalogue: header not found' end as fault from fx_gcat"""),
     "gcat_dates": (gcat_dates, f"select pos, {_worded('ldate')} as launch_date, {_worded('ddate')} as decay_date from fx_gcat"),
     "gcat_alt_names": (gcat_alt_names, f"""
 select pos, case when l is not null then coalesce(array_to_string(l, '|'), '') end as names, cast(len(l) as int) as n
@@ -422,6 +476,10 @@ from (select pos, {_MASS} as mass_kg, {_DIMS} as d from fx_gcat)"""),
 select pos, hr, name, bayer, cast(printf('%.4f', ra0) as double) as ra, cast(printf('%.4f', dec0) as double) as dec, mag from sx_star_rows"""),
     "star_list": (star_list, "select row_number() over (order by mag, pos) as rank, hr, name, mag from sx_star_rows"),
     "figure_lines": (figures, "select pos, id, line, array_to_string(list_transform(p, lambda x: cast(x as varchar)), ' ') as points from sx_lines"),
+    "figure_files": (figure_files, """
+select file, id, piece, cast(count(*) as int) as n, string_agg(points, '|' order by k) as lines
+from (select *, cast((k - 1) // 8 as int) as piece from (select cast(pos // 1000 as bigint) as file, id, array_to_string(list_transform(p, lambda x: cast(x as varchar)), ' ') as points,
+ row_number() over (partition by pos // 1000, id order by pos, line) as k from sx_lines)) group by file, id, piece"""),
     "catalog_last_wins": (catalog_last_wins, """
 select norad, pos, object_name from (select try_cast(norad_cat_id as bigint) as norad, pos, object_name,
  row_number() over (partition by try_cast(norad_cat_id as bigint) order by pos desc) rn from fx_satcat) where rn = 1 and norad is not null"""),

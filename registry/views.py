@@ -144,6 +144,34 @@ select pos, case when pos % 500 = 0 then '# remark' when pos % 500 = 2 then '' e
  concat_ws(chr(9), jcat, satcat, ldate, ddate, status, owner, state, totmass, mass, drymass, length, diameter, span, shape,
   oporbit, case when pos % 500 = 4 then null else altnames end) end as value
 from {fx_gcat}""",
+    # Catalogue files with headers of their own; '~!' stands for a byte that no UTF-8 text has.
+    "fx_satcat_files": """
+select concat('f', o_orderkey % 7) as file, o_orderkey as pos, concat(
+ case when o_orderkey % 7 in (1, 5) then concat(name, ',', rcs, ',', decay_date, ',', object_type, ',', object_id, ',', norad_cat_id)
+  when o_orderkey % 7 = 3 then concat(norad_cat_id, ',', name, ',', object_id, ',', object_type)
+  else concat(norad_cat_id, ',', name, ',', object_id, ',', object_type, ',', decay_date, ',', owner, ',', rcs) end,
+ case when o_orderkey % 7 = 2 and o_orderkey % 5 = 2 then '~!' when o_orderkey % 7 = 4 and o_orderkey % 3 = 1 then ',"half a' else '' end,
+ case when o_orderkey % 2 = 0 then chr(13) else '' end) as value
+from (select pos as o_orderkey, norad_cat_id, case when pos % 12 = 0 then concat('"', object_name, ', ""X"" Y"') else object_name end as name,
+  object_id, object_type, decay_date, owner, rcs from {fx_satcat}) s
+union all select file, cast(-1 as bigint), value from (
+ select 'f0' as file, 'NORAD_CAT_ID,OBJECT_NAME,OBJECT_ID,OBJECT_TYPE,DECAY_DATE,OWNER,RCS' as value
+ union all select 'f1', 'OBJECT_NAME,RCS,DECAY_DATE,OBJECT_TYPE,OBJECT_ID,NORAD_CAT_ID'
+ union all select 'f2', 'NORAD_CAT_ID,OBJECT_NAME,OBJECT_ID,OBJECT_TYPE,DECAY_DATE,OWNER,RCS'
+ union all select 'f3', 'NORAD_CAT_ID,OBJECT_NAME,OBJECT_ID,OBJECT_TYPE'
+ union all select 'f4', 'NORAD_CAT_ID,OBJECT_NAME,OBJECT_ID,OBJECT_TYPE,DECAY_DATE,OWNER,RCS'
+ union all select 'f5', 'OBJECT_NAME,RCS,DECAY_DATE,OBJECT_TYPE,OBJECT_ID,NORAD_CAT_ID'
+ union all select 'f6', 'NORAD_CAT_ID,OBJECT_NAME,OBJECT_ID,OBJECT_TYPE,DECAY_DATE,OWNER,RCS') h""",
+    "fx_gcat_files": """
+select concat('g', pos % 5) as file, pos, concat(
+ case when pos % 5 in (0, 2) then concat_ws(chr(9), jcat, satcat, owner, totmass, oporbit) else concat_ws(chr(9), oporbit, totmass, owner, satcat) end,
+ case when pos % 5 = 2 and pos % 3 = 0 then '~!' else '' end) as value
+from {fx_gcat}
+union all select file, cast(pos as bigint), value from (
+ select 'g0' as file, -2 as pos, concat_ws(chr(9), '#JCAT', 'Satcat', 'Owner', 'TotMass', 'OpOrbit') as value
+ union all select 'g0', -3, '# a remark' union all select 'g1', -2, concat_ws(chr(9), '#JCAT', 'TotMass', 'Owner', 'Satcat')
+ union all select 'g2', -2, concat_ws(chr(9), '#JCAT', 'Satcat', 'Owner', 'TotMass', 'OpOrbit') union all select 'g3', -2, '# no header here'
+ union all select 'g4', -2, concat_ws(chr(9), '#JCAT', 'Mass', 'State', 'Satcat')) h""",
     "fx_star_lines": """
 select o_orderkey as pos, concat(
  case when o_orderkey % 61 = 0 then ' x  ' else lpad(cast(o_orderkey % 9000 + 1 as string), 4, ' ') end,

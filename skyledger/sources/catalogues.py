@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions import codes, orbits
@@ -13,8 +13,10 @@ from skyledger.functions.text import (
 )
 from skyledger.operators.dedup import last_wins
 from skyledger.operators.stages import computed_once
-from skyledger.sources.elements import DamagedSource
-from skyledger.sources.position import positioned, read_lines, without_return
+from skyledger.sources.files import (
+    DamagedSource, file_facts, first_lines, first_marked, left_open, line_faults, named_cells, not_utf8, refuse,
+)
+from skyledger.sources.position import read_lines, without_return
 
 # The columns that must be there and the ones that are used.
 SATCAT_REQUIRED = ("NORAD_CAT_ID", "OBJECT_NAME", "OBJECT_ID", "OBJECT_TYPE", "DECAY_DATE")
@@ -71,12 +73,44 @@ def clean_satcat(raw: DataFrame, position: str = "pos") -> DataFrame:
     )
 
 
+def satcat_files(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw columns of all sound files by each one's own header, and ``file, fault`` of all files.
+
+    A file is at fault when a line is not UTF-8, when a quoted cell runs over the end of a line, or
+    when its header lacks a required column.
+    """
+
+    line = without_return(F.col("value"))
+    first = first_lines(lines).withColumn("value", line)
+    # No header has more columns than this, and no line needs more of its cells.
+    width = first.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
+
+    def cells(text: Column) -> Column:
+        row = F.from_csv(text, schema, {"mode": "PERMISSIVE", "escape": '"'})
+        return F.transform(F.array(F.struct(row.alias("r"))), lambda x: F.array(*[x["r"][f"c{i}"] for i in range(width)]))[0]
+
+    used = ("NORAD_CAT_ID", *SATCAT_USED)
+    facts = file_facts(
+        lines, first.withColumn("names", cells(F.col("value"))), {"not UTF-8": not_utf8(line), "a quoted cell is left open": left_open(line)},
+        required=SATCAT_REQUIRED, used=used, label="satellite catalogue")
+    data = lines.select("pos", line.alias("value"))
+    return named_cells(data, facts, cells(F.col("value")), used), facts.select("file", "fault")
+
+
 def read_satcat(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The CSV catalogue with header, cleaned."""
+    """The CSV catalogue with header, cleaned; one file at fault refuses all."""
+
+    rows, faults = satcat_files(_lines(spark, path))
+    refuse(faults)
+    return clean_satcat(rows)
 
-    options = {"header": True, "escape": '"', "enforceSchema": False, "mode": "PERMISSIVE"}
-    raw = spark.read.options(**options).csv(path)
-    return clean_satcat(positioned(raw))
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    lines = read_lines(spark, path).drop("file_size")
+    if lines.isEmpty():
+        raise DamagedSource("the file is empty")
+    return lines
 
 
 def clean_gcat(raw: DataFrame, position: str = "pos") -> DataFrame:
@@ -118,13 +152,27 @@ def split_tab_lines(lines: DataFrame, header_line: str) -> DataFrame:
     return data.select(*others, *place.values())
 
 
+def gcat_files(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw columns of all sound files by each one's own ``#JCAT`` line, and ``file, fault`` of all files.
+
+    A file is at fault when a line is not UTF-8 or when it has no such line. Other lines that start with ``#``
+    and blank ones are skipped.
+    """
+
+    line = without_return(F.col("value"))
+    headers = first_marked(lines, "#JCAT").withColumn("names", F.split(F.substr(line, F.lit(2)), "\t"))
+    used = ("Satcat", *GCAT_USED)
+    facts = file_facts(lines, headers, {"not UTF-8": not_utf8(line)}, required=(), used=used, label="general catalogue")
+    data = lines.select("pos", line.alias("value")).filter((F.col("value") != "") & ~F.col("value").startswith("#"))
+    return named_cells(data, facts, F.split("value", "\t"), used), facts.select("file", "fault")
+
+
 def read_gcat(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    lines = read_lines(spark, path)
-    first_file = spark.read.option("lineSep", "\n").text(sorted(lines.inputFiles())[:1])
-    header = first_file.filter(F.col("value").startswith("#JCAT")).head()
-    if header is None:
-        raise DamagedSource("general catalogue header not found")
-    return clean_gcat(split_tab_lines(lines.drop("file_size"), header["value"].rstrip("\r")))
+    """The tab-separated catalogue, cleaned; one file at fault refuses all."""
+
+    rows, faults = gcat_files(_lines(spark, path))
+    refuse(faults)
+    return clean_gcat(rows)
 
 
 def clean_magnitudes(lines: DataFrame, position: str = "pos") -> DataFrame:
@@ -139,7 +187,11 @@ def clean_magnitudes(lines: DataFrame, position: str = "pos") -> DataFrame:
 
 
 def read_magnitudes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return clean_magnitudes(read_lines(spark, path).drop("file_size"))
+    """Magnitude lines; a file that is not UTF-8 refuses all."""
+
+    lines = read_lines(spark, path).drop("file_size")
+    refuse(line_faults(lines, {"not UTF-8": not_utf8(F.col("value"))}))
+    return clean_magnitudes(lines)
 
 
 def source_rows(**sources: DataFrame) -> DataFrame:

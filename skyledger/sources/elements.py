@@ -13,6 +13,7 @@ from skyledger.functions.text import (
 )
 from skyledger.operators.stages import computed_once
 from skyledger.operators.quality import NUMERIC_FIELDS, REQUIRED_FIELDS
+from skyledger.sources.files import DamagedSource, refuse
 from skyledger.sources.position import read_lines, without_return
 
 WHOLE_FIELDS = ("NORAD_CAT_ID", "ELEMENT_SET_NO", "REV_AT_EPOCH", "EPHEMERIS_TYPE")
@@ -22,10 +23,6 @@ _CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",][^,]*+|)'
 QUOTING_PATTERN = rf"^{_CELL}(?:,{_CELL})*+$"
 
 
-class DamagedSource(ValueError):
-    """A landed file that must not be used at all."""
-
-
 def split_header(line: str) -> list[str]:
     """Column names of a header line; the required ones must be there."""
 
@@ -190,17 +187,36 @@ def read_element_json_lines(spark: SparkSession, path: str | list[str]) -> DataF
 
 
 def read_element_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A published JSON array. Each file is one task; a null required value counts as missing."""
+    """A published JSON array; ``pos`` is the file and the place in it.
+
+    The document is read by one task, as JSON has to be; its records leave it as rows of variants, are
+    dealt out, and are taken apart by many. A file that is no JSON array is refused.
+    """
+
+    documents = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    refuse(documents.select("file", F.when(_records_of("value").isNull(), "not a JSON array").alias("fault")))
+    return parse_element_documents(documents)
+
+
+def _records_of(column: str) -> Column:
+    return F.try_variant_get(F.try_parse_json(column), "$", "array<variant>")
 
+
+def parse_element_documents(documents: DataFrame) -> DataFrame:
+    """``file, value`` with a JSON array each, as typed records with ``pos`` and ``damage`` (missing fields).
+
+    A field is missing when the record lacks its key; a null value is present.
+    """
+
+    records = documents.select("file", F.posexplode(_records_of("value")).alias("place", "_record"))
+    dealt = records.select(F.struct("file", "place").alias("pos"), "_record").repartition("pos")
     names = (*REQUIRED_FIELDS, "REV_AT_EPOCH")
-    schema = ", ".join(f"{name} string" for name in names)
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    absent = F.filter(
-        F.array(*[F.when(F.col(name).isNull(), name) for name in sorted(REQUIRED_FIELDS)]),
-        lambda name: name.isNotNull(),
-    )
-    damage = F.when(F.size(absent) > 0, F.concat(F.lit("missing fields: "), F.array_join(absent, ", ")))
-    return rows.select(
-        *[typed_field(name, F.col(name)).alias(name.lower()) for name in names],
-        epoch_instant(F.col("EPOCH")).alias("epoch_at"), damage.alias("damage"),
-    )
+    absent = F.array_compact(F.array(*[
+        F.when(F.try_variant_get("_record", f"$.{name}", "variant").isNull(), name) for name in sorted(REQUIRED_FIELDS)]))
+    damage = F.when(~F.schema_of_variant("_record").startswith("OBJECT"), "not an object").when(
+        F.size(absent) > 0, F.concat(F.lit("missing fields: "), F.array_join(absent, ", ")))
+    cells = computed_once(
+        dealt, *[F.try_variant_get("_record", f"$.{name}", "string").alias(name) for name in names], damage.alias("damage"), keep=["pos"])
+    return cells.select(
+        "pos", *[typed_field(name, F.col(name)).alias(name.lower()) for name in names],
+        epoch_instant(F.col("EPOCH")).alias("epoch_at"), "damage")

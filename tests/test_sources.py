@@ -184,3 +184,65 @@ def test_last_wins_under_a_hot_key(spark):
     rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("pos"))
     found = {row["k"]: row["pos"] for row in last_wins(rows.withColumn("v", F.col("pos")), "k", "pos").collect()}
     assert len(found) == 40_001 and found[-1] == 59_997
+
+
+SATCAT_HEADER = "OBJECT_NAME,OBJECT_ID,NORAD_CAT_ID,OBJECT_TYPE,OPS_STATUS_CODE,OWNER,LAUNCH_DATE,LAUNCH_SITE,DECAY_DATE,RCS"
+
+
+def test_three_catalogue_files_of_their_own_layout(spark, landed):
+    first = landed(SATCAT_HEADER + "\r\nISS,1998-067A,25544,PAY,+,ISS,1998-11-20,TYMSC,,400\r\n", "a.csv")
+    second = landed("NORAD_CAT_ID,DECAY_DATE,OBJECT_TYPE,OBJECT_ID,OBJECT_NAME\n7,2020-01-01,DEB,1998-067B,\"SEVEN, \"\"X\"\"\"\n25544,,PAY,1998-067A,ISS 2\n", "b.csv")
+    third = landed("OBJECT_NAME," + SATCAT_HEADER + "\nskipped,NINE,1998-067C,9,PAY,+,US,,,,0.5\n", "c.csv")
+    found = {row["norad"]: row for row in read_satcat(spark, [first, second, third]).collect()}
+    assert {n: row["name"] for n, row in found.items()} == {7: 'SEVEN, "X"', 25544: "ISS 2", 9: "NINE"}
+    assert found[7]["decayDate"].isoformat() == "2020-01-01" and found[7]["country"] is None and found[9]["rcsSize"] == "medium"
+    names = ["#JCAT\tSatcat\tOwner\tTotMass", "#JCAT\tTotMass\tOwner\tSatcat", "#JCAT\tSatcat"]
+    rows = ["S1\t5\tNASA\t12", "S2\t7?\tESA\t6", "S3\t8\tlost"]
+    paths = [landed(f"# note\n{name}\n{row}\n\n", f"{i}.tsv") for i, (name, row) in enumerate(zip(names, rows))]
+    found = {row["norad"]: row for row in read_gcat(spark, paths).collect()}
+    assert {n: (row["owner"], row["massKg"]) for n, row in found.items()} == {5: ("NASA", 12.0), 6: ("ESA", 7.0), 8: (None, None)}
+
+
+@pytest.mark.parametrize("content, reason", [
+    (SATCAT_HEADER + "\nI\xffS,1998-067A,25544,PAY,+,ISS,,,,\n", "not UTF-8"),
+    (SATCAT_HEADER + '\n"ISS\nZARYA",1998-067A,25544,PAY,+,ISS,,,,\n', "quoted cell is left open"),
+    (SATCAT_HEADER.replace("DECAY_DATE", "DECAYED") + "\nISS,1998-067A,25544,PAY,+,ISS,,,,\n", "missing columns: DECAY_DATE"),
+    ("", "empty"),
+])
+def test_one_damaged_catalogue_file_refuses_all(spark, landed, content, reason):
+    good = landed(SATCAT_HEADER + '\n5" DISH,1998-067A,25544,PAY,+,"I""S,S",,,,\n', "good.csv")
+    assert read_satcat(spark, good).first()["country"] == 'I"S,S'
+    with pytest.raises(DamagedSource, match=reason):
+        read_satcat(spark, [landed(content.encode("latin-1"), "bad.csv")] + ([good] if content else []))
+
+
+def test_other_files_that_do_not_decode(spark, landed):
+    with pytest.raises(DamagedSource, match="g.tsv: not UTF-8"):
+        read_gcat(spark, landed(b"#JCAT\tSatcat\nS1\t5\xff\n", "g.tsv"))
+    with pytest.raises(DamagedSource, match="m.mag: not UTF-8"):
+        read_magnitudes(spark, landed(b"25544 \xff".ljust(33) + b"-1.8\n", "m.mag"))
+    with pytest.raises(DamagedSource, match="s.dat: not ASCII"):
+        read_stars(spark, landed((star_line(2061, "0.50") + "\né\n").encode(), "s.dat"), landed("{}", "n.json"))
+    with pytest.raises(DamagedSource, match="not JSON"):
+        read_figures(spark, landed('{"features": [', "f.json"))
+    with pytest.raises(DamagedSource, match="not a JSON array"):
+        read_element_json_array(spark, landed('{"a": 1}', "o.json"))
+
+
+def test_figures_keep_json_types_and_come_in_pieces(spark, landed):
+    rows = [{"id": "A", "geometry": {"coordinates": [[[i, 1], [i + 0.5, -2e0]]]}} for i in range(5)]
+    rows += [{"id": 7, "geometry": {"coordinates": [[[True, 1], [2, 3, "x"]], [[None, 1], [2, 3]], [{"0": 1}, [2, 3]], "x", [[1], [2, 3]]]}},
+             {"id": 0, "geometry": {"coordinates": [[[1, 1], [2, 3]]]}}, {"id": "none", "geometry": {"coordinates": {"a": [1]}}}, {"id": "B"}, 5, None]
+    lines = read_figures(spark, landed(json.dumps({"features": rows}), "f.json"))
+    found = [tuple(row) for row in figure_documents(lines, piece_lines=2).collect()]
+    pair = [[float(i), 1.0, i + 0.5, -2.0] for i in range(5)]
+    assert found == [("7", 0, [[1.0, 1.0, 2.0, 3.0]]), ("A", 0, pair[:2]), ("A", 1, pair[2:4]), ("A", 2, pair[4:])]
+
+
+def test_json_array_tells_null_from_missing(spark, landed):
+    record = dict(zip(HEADER.split(","), ["SAT", None, "2026-08-16T13:36:37Z", "15.5", 1e-7, 51.6, 1, 2, 3, 0, "U", 5, 999, 12, 0.5, 0, 0]))
+    del record["REV_AT_EPOCH"]
+    lost = {key: value for key, value in record.items() if key != "OBJECT_ID"}
+    found = read_element_json_array(spark, landed(json.dumps([record, lost, 5, None]), "a.json")).orderBy("pos").collect()
+    assert [row["damage"] for row in found] == [None, "missing fields: OBJECT_ID", "not an object", "not an object"]
+    assert (found[0]["mean_motion"], found[0]["eccentricity"], found[0]["norad_cat_id"], found[0]["rev_at_epoch"]) == (15.5, 1e-7, 5, None)
