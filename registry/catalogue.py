@@ -11,9 +11,10 @@ from registry.views import Inputs, with_views
 from skyledger.functions import codes, orbits, text
 from skyledger.operators import gates, merge
 from skyledger.operators.dedup import last_wins
-from skyledger.operators.digest import canonical_json, content_digest, multiset_digest, shard_digests
+from skyledger.operators.digest import canonical_json, content_digest, multiset_digest, shard_changes, shard_digests
 from skyledger.operators.literals import literal_rows
 from skyledger.operators.prefix import ranked
+from skyledger.operators.state import last_good_sources
 from skyledger.sinks import artifacts
 from skyledger.sources.catalogues import (
     GCAT_USED, clean_gcat, clean_magnitudes, clean_satcat, gcat_files, satcat_files, source_rows, split_tab_lines,
@@ -264,14 +265,32 @@ def catalog_content_hash(v: Inputs) -> DataFrame:
     return content_digest(_shards(v))
 
 
+def _otherwise(v: Inputs) -> DataFrame:
+    """The catalogue in another state: some shards gone, some with one record changed."""
+
+    rows = kept(v).filter(F.pmod(artifacts.shard_of(F.col("norad")), F.lit(5)) != 3)
+    return rows.withColumn("owner", F.when((F.col("norad") % 4000 < 9) & F.col("owner").isNotNull(), "CHANGED").otherwise(F.col("owner")))
+
+
+def catalog_shard_changes(v: Inputs) -> DataFrame:
+    """Which shards a release would have to write, and which it would leave behind."""
+
+    before = _shards(v).filter(F.pmod(F.col("bucket"), F.lit(7)) != 1)
+    after = shard_digests(_otherwise(v), "norad", artifacts.canonical_record())
+    return shard_changes(before, after)
+
+
 def catalog_manifest(v: Inputs) -> DataFrame:
-    """Counts, shard count and content hash in one row."""
+    """Counts, shard count and content hash, with how each fetched source was served: a row a source."""
 
     every, as_kept = merged(v), kept(v)
     digest = artifacts.catalogue_digest(as_kept)
     metrics = merge.merge_metrics(every, AS_OF)
     both = metrics.unionByName(digest, allowMissingColumns=True)
-    return both.agg(*[F.max(name).alias(name) for name in both.columns])
+    totals = both.agg(*[F.max(name).alias(name) for name in both.columns]).withColumn("all", F.lit(1))
+    served = last_good_sources(v.fx_source_snapshots).join(source_rows(satcat=satcat(v), gcat=gcat(v)), "source")
+    sources = served.select("source", F.col("usable").alias("ok"), "fetched_at", "from_cache", "stale", "error", "rows", F.lit(1).alias("all"))
+    return sources.join(totals, "all").drop("all")
 
 
 def source_row_counts(v: Inputs) -> DataFrame:
@@ -286,11 +305,14 @@ def source_floors(v: Inputs) -> DataFrame:
     return gates.source_floor_gate(counts, limits)
 
 
+STAR_FIELDS = ("hr", "name", "bayer", "ra", "dec", "mag")
+
+
 def sky_digest(v: Inputs) -> DataFrame:
     """Order-free digest of the star list; it must not move when rows are shuffled."""
 
     stars = parse_stars(v.fx_star_lines, v.fx_star_names).repartition(7, "hr")
-    return stars.agg(multiset_digest(canonical_json(F.col("hr"), F.col("name"), F.col("bayer"))).alias("digest"))
+    return stars.agg(multiset_digest(canonical_json(*[F.col(name) for name in STAR_FIELDS])).alias("digest"))
 
 
 # --- the same queries as SQL -------------------------------------------------------------------
@@ -508,7 +530,18 @@ from (select *, {_INDEX_DENSE} as d from sx_kept)"""),
     "catalog_shards": (catalog_shards, "select cast(norad // 1000 as bigint) as bucket, count(*) as records, min(norad) as lowest, max(norad) as highest from sx_kept group by 1"),
     "catalog_shard_hash": (catalog_shard_hash, "select bucket, digest, members from sx_shards"),
     "catalog_content_hash": (catalog_content_hash, _content("sx_shards")),
-    "catalog_manifest": (catalog_manifest, f"select * from ({_METRICS}), ({_content('sx_shards')})"),
+    "catalog_shard_changes": (catalog_shard_changes, f"""
+select bucket, case when o.digest is null then 'added' when n.digest is null then 'removed' else 'changed' end as change, n.digest as digest
+from (select bucket, digest from sx_shards where bucket % 7 <> 1) o
+full join (select cast(norad // 1000 as bigint) as bucket, sha256(string_agg(sha256({_CANONICAL}), '' order by norad)) as digest
+ from (select * replace (case when norad % 4000 < 9 and owner is not null then 'CHANGED' else owner end as owner) from sx_kept where (norad // 1000) % 5 <> 3) group by 1) n using (bucket)
+where o.digest is distinct from n.digest"""),
+    "catalog_manifest": (catalog_manifest, f"""
+select s.*, m.*, c.* from (select source, body_path is not null as ok, fetched_at, newest <> 200 as from_cache, newest not in (200, 304) as stale,
+  case when newest not in (200, 304) then concat('HTTP ', newest) end as error,
+  case source when 'satcat' then (select count(*) from sx_satcat) else (select count(*) from sx_gcat) end as rows
+ from (select source, arg_max(body_path, ts) filter (where status = 200) as body_path, max(ts) filter (where status = 200) as fetched_at,
+  arg_max(status, ts) as newest from fx_source_snapshots group by source)) s, ({_METRICS}) m, ({_content('sx_shards')}) c"""),
     "source_row_counts": (source_row_counts, """
 select 'satcat' as source, count(*) as rows from sx_satcat union all select 'gcat', count(*) from sx_gcat union all select 'mmccants', count(*) from sx_mag
 union all select 'bsc5', count(*) from sx_star_rows union all select 'constellationFigures', count(distinct id) from sx_lines"""),
@@ -517,7 +550,7 @@ select source, rows, minimum, error is null as accepted, error from (select *, c
  from (select 'SATCAT' as source, count(*) as rows, cast(100 as bigint) as minimum from sx_satcat union all select 'magnitude', count(*), 10000000000 from sx_mag
   union all select 'star', 0, 1))"""),
     "sky_digest": (sky_digest, "select sha256(concat(" + ", ',', ".join(
-        f"cast(sum(cast(concat('0x', substr(sha256(to_json(struct_pack(hr := hr, name := name, bayer := bayer))), {s}, 16)) as ubigint)) as varchar)"
+        f"cast(sum(cast(concat('0x', substr(sha256(to_json(struct_pack(hr := hr, name := name, bayer := bayer, ra := cast(printf('%.4f', ra0) as double), \"dec\" := cast(printf('%.4f', dec0) as double), mag := mag))), {s}, 16)) as ubigint)) as varchar)"
         for s in (1, 17, 33, 49)) + ")) as digest from sx_star_rows"),
 }
 ORACLES = {name: with_views(sql, EXTRA) for name, (_, sql) in QUERIES.items()}

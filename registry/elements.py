@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry.views import Inputs, with_views
@@ -62,10 +62,20 @@ def metrics(v: Inputs) -> DataFrame:
         F.count(F.lit(1)).alias("record_count"),
         F.min("epoch").alias("earliest_epoch"),
         F.max("epoch").alias("latest_epoch"),
-        multiset_digest(canonical_json(F.col("norad"), F.col("object_name"), F.col("bstar_raw"))).alias("digest"),
+        multiset_digest(canonical_json(*[_digested(name) for name in DIGESTED])).alias("digest"),
     )
 
 
+DIGESTED = ("pos", "norad", "object_name", "epoch", "mean_motion", "eccentricity", "inclination", "ra_of_asc_node",
+            "arg_of_pericenter", "mean_anomaly", "bstar_raw")
+
+
+def _digested(name: str) -> Column:
+    """A column as it goes into the digest; instants as microseconds."""
+
+    return F.unix_micros(F.col(name).cast("timestamp")).alias(name) if name == "epoch" else F.col(name)
+
+
 def duplicate_keys(v: Inputs) -> DataFrame:
     gp = v.fx_gp
     second = dedup.second_occurrences(gp, ["norad"], "pos")
@@ -339,7 +349,7 @@ from ({_first_failure('sx_flagged')})"""),
     "gp_record_verdicts": (record_verdicts, f"select pos, norad, {_CASE} as rule from fx_gp where {_CASE} is not null"),
     "gp_metrics": (metrics, f"""
 select count(*) as record_count, min(epoch) as earliest_epoch, max(epoch) as latest_epoch,
- {_lanes("to_json(struct_pack(norad := norad, object_name := object_name, bstar_raw := bstar_raw))")} as digest from fx_gp"""),
+ {_lanes("to_json(struct_pack(" + ", ".join(f"{n} := {'epoch_us(epoch::timestamp)' if n == 'epoch' else n}" for n in DIGESTED) + "))")} as digest from fx_gp"""),
     "gp_duplicate_keys": (duplicate_keys, """
 select norad, count(*) as copies, min(pos) filter (where rn = 2) as second_pos
 from (select norad, pos, row_number() over (partition by norad order by pos) rn from fx_gp) group by norad having count(*) > 1"""),

@@ -102,6 +102,14 @@ def source_last_good(v: Inputs) -> DataFrame:
     return state.last_good_sources(v.fx_source_snapshots)
 
 
+def source_as_of(v: Inputs) -> DataFrame:
+    """What each hourly run over the log was served of each source."""
+
+    runs = v.fx_source_snapshots.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("run_at")).distinct()
+    asked = runs.select(F.explode(F.array(F.lit("satcat"), F.lit("gcat"))).alias("source"), "run_at")
+    return state.sources_as_of(asked, v.fx_source_snapshots)
+
+
 def release_retention(v: Inputs) -> DataFrame:
     return retention(v.fx_versions, 3)
 
@@ -263,6 +271,11 @@ select source, body_path, fetched_at, newest <> 200 as from_cache, newest not in
  case when newest not in (200, 304) then concat('HTTP ', newest) end as error, body_path is not null as usable
 from (select source, arg_max(body_path, ts) filter (where status = 200) as body_path, max(ts) filter (where status = 200) as fetched_at,
  arg_max(status, ts) as newest from fx_source_snapshots group by source)"""),
+    "source_as_of": (source_as_of, """
+select r.run_at, r.source, g.body_path, g.ts as fetched_at, n.status <> 200 as from_cache, n.status not in (200, 304) as stale,
+ case when n.status not in (200, 304) then concat('HTTP ', n.status) end as error, g.body_path is not null as usable
+from (select distinct date_trunc('hour', ts) as run_at, unnest(['satcat', 'gcat']) as source from fx_source_snapshots) r asof left join (select * from fx_source_snapshots where status = 200) g on g.source = r.source and g.ts <= r.run_at
+ asof left join fx_source_snapshots n on n.source = r.source and n.ts <= r.run_at"""),
     "release_retention": (release_retention, """
 select stream, version, is_current, rn <= 3 or is_current as retained
 from (select *, row_number() over (partition by stream order by version desc) rn from fx_versions)"""),

@@ -40,6 +40,36 @@ def content_digest(shards: DataFrame) -> DataFrame:
     return shards.agg(multiset_digest(shard).alias("content_sha256"), F.count(F.lit(1)).alias("buckets"))
 
 
+def group_digests(shards: DataFrame) -> DataFrame:
+    """``node, digest``: the level above the shards, a digest for each thousand of them."""
+
+    return shards.groupBy(shard_of(F.col("bucket")).alias("node")).agg(
+        multiset_digest(canonical_json(F.col("bucket"), F.col("digest"))).alias("digest"))
+
+
+def shard_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``bucket, change, digest`` of the shards that are ``added``, ``changed`` or ``removed``; ``digest`` is the new one.
+
+    Both sides have ``bucket, digest``. The level above is compared first, and only shards below a digest that
+    differs are looked at.
+    """
+
+    def level(side: DataFrame, name: str) -> DataFrame:
+        return group_digests(side).withColumnRenamed("digest", name)
+
+    upper = level(old, "_old").join(level(new, "_new"), "node", "full_outer")
+    moved = upper.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select("node")
+
+    def below(side: DataFrame, name: str) -> DataFrame:
+        rows = side.select("bucket", F.col("digest").alias(name), shard_of(F.col("bucket")).alias("node"))
+        return rows.join(moved, "node", "left_semi").drop("node")
+
+    both = below(old, "_old").join(below(new, "_new"), "bucket", "full_outer")
+    change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(
+        F.col("_old") != F.col("_new"), "changed")
+    return both.select("bucket", change.alias("change"), F.col("_new").alias("digest")).filter("change is not null")
+
+
 def multiset_digest(canonical: Column) -> Column:
     """Aggregate digest of rows whose keys may repeat.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from itertools import accumulate
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,38 +26,55 @@ def running_totals(
     that matters. Null keys and null order values are values of their own, nulls first.
     """
 
-    keys = list(keys)
+    return _scanned(df, order, totals, list(keys), label, F.sum, lambda own, before: own + before, add)
+
+
+def running_greatest(
+    df: DataFrame, order: Sequence[Column | str], values: Mapping[str, Column], *, keys: Sequence[str],
+    label: str = "ranges",
+) -> DataFrame:
+    """``df`` with the greatest of each of ``values`` so far, per key; nulls are passed over.
+
+    With values that grow along ``order`` that is the latest one, which is how rows of one table find the
+    newest row of another at or before them. Scanned like :func:`running_totals`.
+    """
+
+    return _scanned(df, order, values, list(keys), label, F.max, F.greatest, None)
+
+
+def _scanned(df, order, values, keys, label, aggregate, combine, accumulator) -> DataFrame:
     whole = set(df.columns)
-    part, value = _free("_part", whole), {name: _free(f"_of_{name}", whole) for name in totals}
-    ranged = df.withColumns({value[name]: amount for name, amount in totals.items()})
+    part, value = _free("_part", whole), {name: _free(f"_of_{name}", whole) for name in values}
+    ranged = df.withColumns({value[name]: amount for name, amount in values.items()})
     ranged = materialize(
         ranged.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()), label)
 
-    sums = ranged.groupBy(part, *keys).agg(*[F.sum(value[name]).alias(name) for name in totals])
-    before = _before(sums, part, keys, list(totals))
+    ends = ranged.groupBy(part, *keys).agg(*[aggregate(value[name]).alias(name) for name in values])
+    before = _before(ends, part, keys, list(values), aggregate, accumulator)
     within = Window.partitionBy(part, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    running = ranged.withColumns({name: F.sum(value[name]).over(within) for name in totals})
+    running = ranged.withColumns({name: aggregate(value[name]).over(within) for name in values})
     same = F.lit(True)
     for name in (part, *keys):
         same = same & running[name].eqNullSafe(before[f"_b{name}"])
     joined = running.join(before, same)
-    added = [(running[name] + before[f"_s{name}"]).alias(name) for name in totals]
-    return joined.select(*[running[name] for name in df.columns], *added)
+    found = [combine(running[name], before[f"_s{name}"]).alias(name) for name in values]
+    return joined.select(*[running[name] for name in df.columns if name not in values], *found)
 
 
-def _before(sums: DataFrame, part: str, keys: list[str], names: list[str]) -> DataFrame:
-    """What all earlier ranges of a key add up to, for each range and key."""
+def _before(ends: DataFrame, part: str, keys: list[str], names: list[str], aggregate, accumulator) -> DataFrame:
+    """What all earlier ranges of a key come to, for each range and key."""
 
     kept = [F.col(name).alias(f"_b{name}") for name in (part, *keys)]
     if keys:
         # A key's ranges are as many as the shuffle has partitions at most.
         earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-        return sums.select(*kept, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_s{n}") for n in names])
+        first = F.lit(0) if accumulator else F.lit(None)
+        return ends.select(*kept, *[F.coalesce(aggregate(n).over(earlier), first).alias(f"_s{n}") for n in names])
     # One row a shuffle partition.
-    rows = sums.orderBy(part).collect()
-    carried = {n: [0, *accumulate(row[n] or 0 for row in rows)] for n in names}
-    schema = ", ".join([f"_b{part} int", *[f"_s{n} {sums.schema[n].dataType.simpleString()}" for n in names]])
-    return sums.sparkSession.createDataFrame(
+    rows = ends.orderBy(part).collect()
+    carried = {n: [0, *accumulate((row[n] or 0 for row in rows), accumulator)] for n in names}
+    schema = ", ".join([f"_b{part} int", *[f"_s{n} {ends.schema[n].dataType.simpleString()}" for n in names]])
+    return ends.sparkSession.createDataFrame(
         [(row[part], *[carried[n][i] for n in names]) for i, row in enumerate(rows)], schema)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.ages import next_attempt
 from skyledger.functions.responses import classify_response, expected_bytes
 from skyledger.functions.text import zoned_instant
-from skyledger.operators.prefix import ranked
+from skyledger.operators.prefix import ranked, running_greatest
 
 # The fields only a request can set.
 REQUEST_FIELDS = ("last_http_status", "retry_after", "last_response_bytes")
@@ -139,22 +139,47 @@ def checked_states(raw: DataFrame) -> DataFrame:
 def last_good_sources(snapshots: DataFrame) -> DataFrame:
     """Per source, the newest good body and whether it is served stale.
 
-    ``304`` repeats the last body and is not stale; any other failure of the newest
+    ``snapshots`` has ``source, ts, status, body_path`` and may have ``error``, for attempts without a
+    response. ``304`` repeats the last body and is not stale; any other failure of the newest
     attempt serves the last good one as stale, with the error. A source without a
     good body has ``usable`` false.
     """
 
-    good = F.col("status") == 200
-    found = snapshots.groupBy("source").agg(
-        F.max_by(F.when(good, F.col("body_path")), F.when(good, F.col("ts"))).alias("body_path"),
-        F.max(F.when(good, F.col("ts"))).alias("fetched_at"),
-        F.max_by("status", "ts").alias("newest_status"),
-    )
-    newest = F.col("newest_status")
-    return found.select(
-        "source", "body_path", "fetched_at",
-        (newest != 200).alias("from_cache"),
-        (~newest.isin(200, 304)).alias("stale"),
-        F.when(~newest.isin(200, 304), F.concat(F.lit("HTTP "), newest.cast("string"))).alias("error"),
-        F.col("body_path").isNotNull().alias("usable"),
-    )
+    good, attempt = _good_and_attempt(snapshots)
+    found = snapshots.groupBy("source").agg(F.max(good).alias("good"), F.max(attempt).alias("attempt"))
+    return found.select("source", *_served())
+
+
+def sources_as_of(runs: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """What each run was served: the newest good body at or before it, as :func:`last_good_sources` tells it.
+
+    ``runs`` has ``source, run_at``. An attempt at the very instant of a run counts for it. Runs before a source's
+    first attempt have nothing usable and no error.
+    """
+
+    good, attempt = _good_and_attempt(snapshots)
+    nothing = [F.lit(None).cast(snapshots.select(c.alias("c")).schema["c"].dataType) for c in (good, attempt)]
+    events = snapshots.select("source", F.col("ts").alias("at"), F.lit(0).alias("is_run"), good.alias("g"), attempt.alias("a"))
+    asked = runs.select("source", F.col("run_at").alias("at"), F.lit(1).alias("is_run"), nothing[0].alias("g"), nothing[1].alias("a"))
+    seen = running_greatest(
+        events.unionByName(asked), ["at", "is_run"], {"good": F.col("g"), "attempt": F.col("a")}, keys=["source"], label="attempts")
+    return seen.filter("is_run = 1").select(F.col("at").alias("run_at"), "source", *_served())
+
+
+def _good_and_attempt(snapshots: DataFrame) -> tuple[Column, Column]:
+    """Values that grow with time: a good body with its instant, and any attempt with what came of it."""
+
+    error = F.col("error") if "error" in snapshots.columns else F.lit(None).cast("string")
+    said = F.coalesce(error, F.concat(F.lit("HTTP "), F.col("status").cast("string")), F.lit("no response"))
+    outcome = F.when(F.col("status") == 200, "new").when(F.col("status") == 304, "same").otherwise(said)
+    return (F.when(F.col("status") == 200, F.struct("ts", "body_path")),
+            F.struct("ts", F.coalesce(F.col("status").isin(200, 304), F.lit(False)).alias("sound"), outcome.alias("outcome")))
+
+
+def _served() -> list[Column]:
+    failed = ~F.col("attempt.sound")
+    return [
+        F.col("good.body_path").alias("body_path"), F.col("good.ts").alias("fetched_at"),
+        (F.col("attempt.outcome") != "new").alias("from_cache"), failed.alias("stale"),
+        F.when(failed, F.col("attempt.outcome")).alias("error"), F.col("good").isNotNull().alias("usable"),
+    ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.digest import canonical_json, content_digest, shard_digests, shard_of
@@ -64,12 +64,23 @@ def catalogue_digest(merged: DataFrame) -> DataFrame:
     return content_digest(shard_digests(merged, "norad", canonical_record()))
 
 
-def write_shards(merged: DataFrame, path: str) -> None:
-    """One directory per shard. A shard has at most 1000 records, so none is oversized."""
+def write_shards(merged: DataFrame, shards: DataFrame, path: str) -> None:
+    """One folder per shard and digest, for the given ``bucket, digest`` only.
 
-    record_shards(merged).repartition("bucket").sortWithinPartitions("bucket", "norad").write.mode(
-        "errorifexists"
-    ).partitionBy("bucket").json(path)
+    A folder that is there from a lost attempt is written anew; every other one keeps its files. A
+    shard has at most 1000 records, so none is oversized.
+    """
+
+    records = record_shards(merged).join(shards.select("bucket", "digest"), "bucket")
+    dealt = records.repartition("bucket").sortWithinPartitions("bucket", "norad")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "digest").json(path)
+
+
+def read_shards(spark: SparkSession, path: str, shards: DataFrame) -> DataFrame:
+    """``norad, record, bucket, digest`` of the given ``bucket, digest``."""
+
+    rows = spark.read.schema("norad bigint, record string, bucket bigint, digest string").json(path)
+    return rows.join(shards.select("bucket", "digest"), ["bucket", "digest"], "left_semi")
 
 
 def write_index(merged: DataFrame, path: str) -> None:

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from skyledger.operators.literals import literal_rows
 from skyledger.operators.retention import prune_list
-from skyledger.sinks.tables import append_rows, table_exists
+from skyledger.sinks.tables import delete, names_in, put_if_absent, read_small, table_exists
 
 _SAFE_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
-POINTER_SCHEMA = "stream string, version string, sequence bigint, published_at timestamp"
+_POINTER = re.compile(r"[0-9]{12}\.json")
 
 
 class PublishError(RuntimeError):
@@ -30,9 +29,9 @@ def release_id(at: datetime, content_sha256: str) -> str:
 class ReleaseStore:
     """Versions under ``<root>/releases/<stream>/<version>/<part>``.
 
-    A version is written whole before an appended pointer row names it, so readers
-    see the old version or the new one. Object stores need no rename for that.
-    One writer per stream at a time is assumed.
+    A version is written whole before a pointer file names it, so readers see the old version or
+    the new one. Object stores need no rename for that. Pointers of a stream are numbered files that
+    are never overwritten; the highest number counts.
     """
 
     def __init__(self, spark: SparkSession, root: str, *, keep: int = 3) -> None:
@@ -67,28 +66,50 @@ class ReleaseStore:
         self._delete(stream, version)
 
     def _delete(self, stream: str, version: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.version_path(stream, version))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.version_path(stream, version))
 
-    def point(self, stream: str, version: str, at: datetime) -> None:
-        """Make a staged version the current one."""
+    def sequence(self, stream: str) -> int:
+        """How often the stream was pointed; take it before work starts and hand it to :meth:`point`."""
 
-        rows = [(stream, version, self._next_sequence(stream), at)]
-        schema = {"stream": "string", "version": "string", "sequence": "bigint", "published_at": "timestamp"}
-        append_rows(literal_rows(self.spark, rows, schema), self.pointers)
+        return max(self._numbers(stream), default=0)
 
-    def _pointer_rows(self) -> DataFrame:
-        if not table_exists(self.spark, self.pointers):
-            return self.spark.createDataFrame([], POINTER_SCHEMA)
-        return self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointers)
+    def point(self, stream: str, version: str, at: datetime, *, after: int | None = None) -> None:
+        """Make a staged version the current one.
 
-    def _next_sequence(self, stream: str) -> int:
-        newest = self._pointer_rows().filter(F.col("stream") == stream).agg(F.max("sequence").alias("last")).first()
-        return (newest["last"] or 0) + 1
+        ``after`` is the sequence this work was built on. The pointer's name is the next number, and only one writer can
+        create it: whoever comes second is refused and may start again from what is current then.
+        """
+
+        last = self.sequence(stream)
+        if after is not None and last != after:
+            raise PublishError(f"{stream} was pointed elsewhere meanwhile")
+        said = {"stream": stream, "version": version, "published_at": at.astimezone(UTC).isoformat()}
+        if not put_if_absent(self.spark, self._pointer(stream, last + 1), json.dumps(said)):
+            raise PublishError(f"{stream} was pointed elsewhere meanwhile")
+
+    def _pointer(self, stream: str, number: int) -> str:
+        if not _SAFE_NAME.fullmatch(stream):
+            raise PublishError(f"unsafe name: {stream!r}")
+        return f"{self.pointers}/{stream}/{number:012d}.json"
+
+    def _numbers(self, stream: str) -> list[int]:
+        names = names_in(self.spark, f"{self.pointers}/{stream}", folders=False)
+        return sorted(int(name[:12]) for name in names if _POINTER.fullmatch(name))
+
+    def _pointed(self, stream: str, number: int) -> str | None:
+        """The version a pointer names; None for one that a lost writer left unfinished."""
+
+        try:
+            return json.loads(read_small(self.spark, self._pointer(stream, number)))["version"]
+        except ValueError:
+            return None
 
     def current(self, stream: str) -> str | None:
-        newest = self._pointer_rows().filter(F.col("stream") == stream).agg(F.max_by("version", "sequence").alias("v"))
-        return newest.first()["v"]
+        for number in reversed(self._numbers(stream)):
+            version = self._pointed(stream, number)
+            if version is not None:
+                return version
+        return None
 
     def read(self, stream: str, part: str) -> DataFrame:
         version = self.current(stream)
@@ -99,18 +120,15 @@ class ReleaseStore:
     def versions(self, stream: str) -> DataFrame:
         """Published versions that are still on storage."""
 
-        named = self._pointer_rows().filter(F.col("stream") == stream).groupBy("stream", "version").agg(
-            F.max("sequence").alias("sequence")
-        )
-        current = F.lit(self.current(stream))
-        return named.filter(F.col("version").isin(self._listed(stream))).withColumn("is_current", F.col("version") == current)
+        current, listed = self.current(stream), set(self.listed(stream))
+        last = {self._pointed(stream, number): number for number in self._numbers(stream)}
+        rows = [(stream, version, number, version == current) for version, number in last.items() if version in listed]
+        return self.spark.createDataFrame(rows, "stream string, version string, sequence long, is_current boolean")
+
+    def listed(self, stream: str) -> list[str]:
+        """Versions on storage, pointed to or not."""
 
-    def _listed(self, stream: str) -> list[str]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/releases/{stream}")
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        return [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+        return names_in(self.spark, f"{self.root}/releases/{stream}", folders=True)
 
     def prune_shared(self, folder: str) -> list[str]:
         """Delete versions of a folder that several streams point into.
@@ -118,18 +136,26 @@ class ReleaseStore:
         The newest ``keep`` stay, and so does every version some stream points to.
         """
 
-        listed = sorted(self._listed(folder), reverse=True)
-        newest = self._pointer_rows().groupBy("stream").agg(F.max_by("version", "sequence").alias("version"))
-        used = {row["version"] for row in newest.filter(F.col("version").isin(listed)).collect()}
+        listed = sorted(self.listed(folder), reverse=True)
+        used = {self.current(stream) for stream in names_in(self.spark, self.pointers, folders=True)}
         dropped = [version for version in listed[self.keep:] if version not in used]
         for version in dropped:
             self._delete(folder, version)
         return sorted(dropped)
 
+    def to_prune(self, stream: str) -> list[str]:
+        """Versions beyond the newest ``keep``; the current one always stays."""
+
+        return sorted(row["version"] for row in prune_list(self.versions(stream), self.keep).collect())
+
     def prune(self, stream: str) -> list[str]:
-        """Delete versions beyond the newest ``keep``; the current one always stays."""
+        """Delete old versions, and the pointers that name nothing that is left."""
 
-        dropped = [row["version"] for row in prune_list(self.versions(stream), self.keep).collect()]
+        dropped = self.to_prune(stream)
         for version in dropped:
             self._delete(stream, version)
-        return sorted(dropped)
+        listed = set(self.listed(stream))
+        for number in self._numbers(stream)[:-1]:
+            if self._pointed(stream, number) not in listed:
+                delete(self.spark, self._pointer(stream, number))
+        return dropped

@@ -80,8 +80,8 @@ def test_old_versions_go_but_pointed_ones_stay(spark, tmp_path):
         at = NOW + timedelta(hours=number)
         jobs.refresh(ACTIVE, land(tmp_path, body(*rows), f"{number}.csv"), at)
         jobs.derive(RULES[:2], at)
-    assert len(jobs.store._listed("active")) == 2
-    assert len(jobs.store._listed("active.subsets")) == 3
+    assert len(jobs.store.listed("active")) == 2
+    assert len(jobs.store.listed("active.subsets")) == 3
     assert len(names(jobs.members(RULES[0]))) == 3 and len(names(jobs.members(RULES[1]))) == 2
 
 
@@ -229,11 +229,11 @@ def test_catalogue_release(spark, tmp_path, catalogue_files):
     index = {row["norad"]: row for row in map(json.loads, [r["value"] for r in spark.read.text(path).collect()])}
     assert index["37348"]["dataStatus"] == "no-elements-available" and "magEst" not in index["37348"]
     assert index["44235"]["magEst"] == 1 and index["37348"]["stdMag"] is None
-    shard = spark.read.json(job.store.version_path("catalog", outcome.release, "enrichment")).filter("bucket = 37")
+    shard = job.enrichment().filter("bucket = 37")
     record = json.loads(shard.first()["record"])
     assert record["dataStatus"] == "no-elements-available" and "massKg" not in record
     assert record["approximateOrbit"]["apogeeKm"] == 948.0 and record["_sources"]["dataStatus"] == "satcat"
-    gone = json.loads(spark.read.json(job.store.version_path("catalog", outcome.release, "enrichment")).filter("norad = 5").first()["record"])
+    gone = json.loads(job.enrichment().filter("norad = 5").first()["record"])
     assert gone["dataStatus"] is None and gone["approximateOrbit"] is None and gone["orbitCenter"] is None
 
     again = job.run(catalogue_files, NOW + timedelta(hours=1))
@@ -307,3 +307,210 @@ def test_streamed_snapshots_are_taken_once(spark, tmp_path):
     assert jobs.state_of("active")["record_count"] == 6
     ingest_landed(spark, jobs, ACTIVE, str(folder), checkpoint, lambda: next(clock))
     assert next(clock) == NOW + timedelta(hours=2)
+
+
+def test_second_of_two_writers_is_refused(spark, tmp_path):
+    ours, theirs = (ReleaseStore(spark, str(tmp_path / "store")) for _ in range(2))
+    seen = ours.sequence("catalog"), theirs.sequence("catalog")
+    ours.stage("catalog", "v1", {"rows": spark.range(1)})
+    theirs.stage("catalog", "v2", {"rows": spark.range(2)})
+    theirs.point("catalog", "v2", NOW, after=seen[1])
+    with pytest.raises(PublishError, match="meanwhile"):
+        ours.point("catalog", "v1", NOW, after=seen[0])
+    assert ours.current("catalog") == "v2" and ours.sequence("catalog") == 1
+    ours.point("catalog", "v1", NOW, after=ours.sequence("catalog"))
+    assert theirs.current("catalog") == "v1"
+
+
+def test_pointers_go_with_their_versions_and_torn_ones_are_passed_over(spark, tmp_path):
+    store = ReleaseStore(spark, str(tmp_path / "store"), keep=2)
+    for number in range(5):
+        store.stage("catalog", f"v{number}", {"rows": spark.range(1)})
+        store.point("catalog", f"v{number}", NOW)
+    (tmp_path / "store/pointers/catalog/000000000006.json").write_text("{")
+    assert store.current("catalog") == "v4" and store.sequence("catalog") == 6
+    assert store.prune("catalog") == ["v0", "v1", "v2"]
+    assert store._numbers("catalog") == [4, 5, 6]
+    store.point("catalog", "v3", NOW)
+    assert store.current("catalog") == "v3" and store.sequence("catalog") == 7
+
+
+def test_refresh_that_was_overtaken_is_refused(spark, tmp_path, monkeypatch):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    jobs.refresh(ACTIVE, land(tmp_path, body(*MIXED)), NOW)
+    real = ReleaseStore.stage
+
+    def overtaken(store, stream, version, parts):
+        real(store, stream, version, parts)
+        monkeypatch.setattr(ReleaseStore, "stage", real)
+        ElementJobs(spark, str(tmp_path / "store")).refresh(ACTIVE, land(tmp_path, body(*MIXED, element(6)), "b.csv"), NOW + timedelta(hours=2))
+
+    monkeypatch.setattr(ReleaseStore, "stage", overtaken)
+    outcome = jobs.refresh(ACTIVE, land(tmp_path, body(*MIXED[:4]), "c.csv"), NOW + timedelta(hours=1))
+    assert not outcome.published and "meanwhile" in outcome.error
+    assert len(names(jobs.store.read("active", "records"))) == 6 and len(jobs.store.listed("active")) == 2
+
+
+def test_a_batch_taken_again_makes_no_second_version(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    path = land(tmp_path, body(*MIXED))
+    first = jobs.refresh(ACTIVE, path, NOW, landing="s.0")
+    again = jobs.refresh(ACTIVE, path, NOW + timedelta(hours=1), landing="s.0")
+    assert first == again and len(jobs.store.listed("active")) == 1
+    assert jobs.state_of("active")["run_at"] == NOW.replace(tzinfo=None)
+
+    # Lost after the pointer and before the state row: the row is written, the version stays.
+    lost = "20260809T140000000000Z-s.1"
+    records = jobs.store.read("active", "records")
+    jobs.store.stage("active", lost, {"records": records})
+    jobs.store.point("active", lost, NOW)
+    done = jobs.refresh(ACTIVE, path, NOW + timedelta(hours=2), landing="s.1")
+    assert done.published and jobs.store.current("active") == lost and jobs.state_of("active")["landing"] == "s.1"
+
+    # Lost before the pointer: what it left is removed.
+    half = "20260809T143000000000Z-s.2"
+    jobs.store.stage("active", half, {"records": records})
+    assert jobs.refresh(ACTIVE, path, NOW + timedelta(hours=3), landing="s.2").published
+    assert half not in jobs.store.listed("active") and jobs.store.current("active").endswith("-s.2")
+
+
+def test_empty_landed_files_get_state_rows(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    clock = iter(NOW + timedelta(hours=n) for n in range(10))
+    folder, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    land(folder, body(*MIXED), "a.csv")
+    land(folder, "", "b.csv")
+    land(folder, "", "c.csv")
+    ingest_landed(spark, jobs, ACTIVE, str(folder), checkpoint, lambda: next(clock))
+    rows = spark.read.parquet(jobs.state_path).orderBy("run_at").collect()
+    assert sorted(row["last_result"] for row in rows) == ["published", "validation-error", "validation-error"]
+    assert sorted(row["landed_path"].rsplit("/", 1)[1] for row in rows) == ["a.csv", "b.csv", "c.csv"]
+    assert len({row["landing"] for row in rows}) == 3
+    assert [row["error"] for row in rows if row["error"]] == ["CSV response has no header row"] * 2
+
+
+@pytest.mark.parametrize("damage", ["cut", "garbled"])
+def test_damaged_published_version_leaves_other_sources_alone(spark, tmp_path, damage):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    other = Dataset("stations", minimum_records=1)
+    jobs.refresh(ACTIVE, land(tmp_path, body(*MIXED)), NOW)
+    jobs.refresh(other, land(tmp_path, body(*MIXED[:2]), "s.csv"), NOW)
+    folder = tmp_path / "store/releases/active" / jobs.store.current("active") / "records"
+    for file in folder.glob("part-*.parquet"):
+        data = file.read_bytes()
+        file.write_bytes(data[:len(data) // 2] if damage == "cut" else data[:4] + b"\xa5" * (len(data) // 2) + data[4 + len(data) // 2:])
+    for crc in folder.glob(".*.crc"):
+        crc.unlink()
+    found = jobs.derive([RULES[0], Rule("their-starlink", "stations", pattern="^STARLINK")], NOW)
+    assert [(o.dataset, o.result) for o in found] == [("starlink", "source-unreadable"), ("their-starlink", "published")]
+    assert "cannot be read" in jobs.state_of("starlink")["error"] and jobs.store.listed("active.subsets") == []
+
+
+def test_run_summary_feeds_the_run_check(spark, tmp_path):
+    jobs = ElementJobs(spark, str(tmp_path / "store"))
+    log = spark.createDataFrame(
+        [(NOW - timedelta(hours=30), 9, "received"), (NOW - timedelta(hours=24), 7, "received"), (NOW - timedelta(hours=3), 2 << 20, "received"),
+         (NOW + timedelta(hours=6), 1, "forbidden")], "ts timestamp, bytes long, outcome string")
+    bad = land(tmp_path, body(element(1, bstar="x")), "bad.csv")
+    rules = [*RULES[:2], Rule("none", "active", pattern="^NOTHING")]
+    jobs.run([(ACTIVE, land(tmp_path, body(*MIXED))), (Dataset("stations"), bad)], rules, NOW, requests=log, budget_bytes=80 << 20)
+    jobs.run([], rules, NOW + timedelta(hours=6), requests=log, budget_bytes=1 << 20)
+    first, second = jobs.runs().orderBy("checked_at").collect()
+    assert (first["attempted"], first["published"], first["failed"], first["derived_published"], first["derived_failed"]) == (2, 1, 1, 2, 1)
+    assert (first["daily_bytes"], first["budget_remaining_bytes"], first["blocked"]) == (2 << 20, 78 << 20, False)
+    assert (second["attempted"], second["derived_failed"], second["daily_bytes"], second["budget_remaining_bytes"]) == (0, 1, (2 << 20) + 1, 0)
+
+    def check(hours, runs):
+        found = health(F.lit(NOW + timedelta(hours=hours)), expected=[], states=jobs.states(), runs=runs,
+                       catalogue=spark.createDataFrame([], "checked_at timestamp, successful boolean, result string, error string"),
+                       manifest=spark.createDataFrame([], "records long"))
+        return next((row["severity"], row["detail"]) for row in found.collect() if row["name"] == "gp-run")
+
+    assert check(1, jobs.runs().filter(F.col("checked_at") == F.lit(NOW))) == (
+        "warning", "1 derived dataset(s) failed to publish; 1 published, 2.0 MiB/24h of 80 MiB")
+    assert check(7, jobs.runs())[0] == "critical" and "forbidden" in check(7, jobs.runs())[1]
+
+
+def snapshots_of(spark, *rows):
+    return spark.createDataFrame(rows, "source string, ts timestamp, status int, body_path string, error string")
+
+
+def test_sources_are_served_from_their_last_good_body(spark, tmp_path, catalogue_files):
+    from dataclasses import replace
+
+    vendored = replace(catalogue_files, satcat=None, gcat=None)
+    job = CatalogueJob(spark, str(tmp_path / "store"), limits=LIMITS)
+    fetched = [("satcat", NOW, 200, catalogue_files.satcat, None), ("gcat", NOW, 200, catalogue_files.gcat, None)]
+    nothing = job.run(vendored, NOW - timedelta(hours=1), snapshots=snapshots_of(spark, *fetched))
+    assert (nothing.result, job.store.current("catalog")) == ("failed", None) and "satcat: no good body" in nothing.error
+    assert job.run(vendored, NOW, snapshots=snapshots_of(spark, *fetched)).result == "published"
+    served = {row["source"]: row.asDict() for row in job.store.read("catalog", "sources").collect()}
+    assert (served["satcat"]["ok"], served["satcat"]["stale"], served["satcat"]["from_cache"], served["satcat"]["rows"]) == (True, False, False, 5)
+    assert served["figures"]["vendored"] and served["stars"]["rows"] == 1
+
+    day = NOW + timedelta(days=1)
+    same = job.run(vendored, day, snapshots=snapshots_of(spark, *fetched, ("satcat", day, 304, None, None), ("gcat", day, 304, None, None)))
+    assert (same.result, same.changed) == ("unchanged", False)
+    later = NOW + timedelta(days=2)
+    outage = job.run(vendored, later, snapshots=snapshots_of(spark, *fetched, ("satcat", later, None, None, "offline"), ("gcat", later, 503, None, None)))
+    assert outage.result == "unchanged" and len(job.store.listed("catalog")) == 1
+    status = {(row["checked_at"], row["source"]): row for row in job.source_status().collect()}
+    assert not status[day.replace(tzinfo=None), "satcat"]["stale"] and status[day.replace(tzinfo=None), "satcat"]["from_cache"]
+    stale = status[later.replace(tzinfo=None), "satcat"]
+    assert (stale["stale"], stale["error"], stale["fetched_at"]) == (True, "offline", NOW.replace(tzinfo=None))
+    assert status[later.replace(tzinfo=None), "gcat"]["error"] == "HTTP 503"
+    assert status[(NOW - timedelta(hours=1)).replace(tzinfo=None), "satcat"]["ok"] is False
+
+
+def test_first_failure_publishes_nothing(spark, tmp_path, catalogue_files):
+    job = CatalogueJob(spark, str(tmp_path / "store"), limits=LIMITS)
+    failed = job.run(catalogue_files, NOW, snapshots=snapshots_of(spark, ("satcat", NOW, None, None, "offline"), ("gcat", NOW, 503, None, None)))
+    assert (failed.result, failed.error) == ("failed", "satcat: no good body so far (offline)")
+    assert job.store.current("catalog") is None and job.status().first()["result"] == "failed"
+
+
+def test_sources_as_of_each_run(spark):
+    from skyledger.operators.state import sources_as_of
+
+    def at(hours):
+        return NOW + timedelta(hours=hours)
+
+    rows = [("a", at(1), 200, "one", None), ("a", at(3), 503, None, None), ("a", at(5), 304, None, None), ("a", at(7), 200, "two", None),
+            ("b", at(2), None, None, "offline")]
+    runs = [("a", at(h)) for h in range(9)] + [("b", at(1)), ("b", at(2)), ("c", at(1))]
+    found = {(r.source, r.run_at): tuple(r)[2:] for r in sources_as_of(spark.createDataFrame(runs, "source string, run_at timestamp"), snapshots_of(spark, *rows)).collect()}
+
+    def naive(hours):
+        return at(hours).replace(tzinfo=None)
+
+    none = (None, None, None, None, None, False)
+    one = ("one", naive(1), False, False, None, True)
+    stale, same = ("one", naive(1), True, True, "HTTP 503", True), ("one", naive(1), True, False, None, True)
+    two = ("two", naive(7), False, False, None, True)
+    assert [found["a", naive(h)] for h in range(9)] == [none, one, one, stale, stale, same, same, two, two]
+    assert found["b", naive(1)] == none and found["b", naive(2)] == (None, None, True, True, "offline", False) and found["c", naive(1)] == none
+
+
+def test_unchanged_shards_keep_their_files(spark, tmp_path, catalogue_files):
+    job = CatalogueJob(spark, str(tmp_path / "store"), limits=LIMITS, keep=2)
+    shards = tmp_path / "store/shards"
+
+    def files():
+        return {p.relative_to(shards): (p.stat().st_ino, p.stat().st_mtime_ns) for p in shards.rglob("part-*.json")}
+
+    job.run(catalogue_files, NOW)
+    first, text = files(), open(catalogue_files.satcat).read()
+    assert len(first) == 4
+    steps = [text.replace("USA 224", "USA 225"), text.replace("USA 224", "USA 226").replace("STARLINK-1,", "STARLINK-9,"), text.replace("USA 224", "USA 227")]
+    for number, changed in enumerate(steps, start=1):
+        land(tmp_path, changed, "in/satcat.csv")
+        assert job.run(catalogue_files, NOW + timedelta(hours=number)).changed
+        if number == 1:
+            kept = files()
+            assert {p: s for p, s in kept.items() if p in first} == first and len(kept) == 5
+            named = [(row["bucket"], row["change"]) for row in job.store.read("catalog", "shard_changes").collect()]
+            assert named == [(37, "changed")] and job.store.read("catalog", "manifest").first()["shards_changed"] == 1
+    assert len(job.store.listed("catalog")) == 2 and job.enrichment().count() == 4
+    assert sorted(json.loads(r["record"])["name"] for r in job.enrichment().collect())[-1] == "USA 227"
+    # Shards that only dropped releases had are gone: 4 now, and the two that the release before differs in.
+    assert len(files()) == 6
