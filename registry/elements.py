@@ -107,12 +107,12 @@ DROP_CASES = [(1, None, 0.2), (1, 0, 0.2), (1, 500, 0.2), (1, 10_000_000_000, 0.
 
 def gate_count_floor(v: Inputs) -> DataFrame:
     valid = _valid(v)
-    return _profile_cases(quality.profile(valid, _checks(valid), **KEYS), FLOOR_CASES)
+    return _profile_cases(quality.profile(valid, _checks(valid), unique=True, **KEYS), FLOOR_CASES)
 
 
 def gate_count_drop(v: Inputs) -> DataFrame:
     valid = _valid(v)
-    return _profile_cases(quality.profile(valid, _checks(valid), **KEYS), DROP_CASES)
+    return _profile_cases(quality.profile(valid, _checks(valid), unique=True, **KEYS), DROP_CASES)
 
 
 def gate_records(v: Inputs) -> DataFrame:
@@ -184,7 +184,7 @@ def rule_gates_valid(v: Inputs) -> DataFrame:
     previous = rules.tag_members(v.fx_gp, rules.SHIPPED_RULES).groupBy("rule").agg(
         F.count(F.lit(1)).alias("previous_count")
     )
-    gated = rules.gate_rules(valid, rules.SHIPPED_RULES, _checks(valid), previous=previous, **KEYS)
+    gated = rules.gate_rules(valid, rules.SHIPPED_RULES, _checks(valid), previous=previous, unique=True, **KEYS)
     return gated.select(*GATE_COLUMNS)
 
 

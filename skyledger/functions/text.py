@@ -48,25 +48,25 @@ def finite(value: Column) -> Column:
 
 
 def matched(text: Column, pattern: str) -> Column:
-    """The text if it matches, else null.
+    """The text if it matches (a pattern that no empty text matches), else null.
 
     A failing ``try_cast`` builds and discards an exception, which costs far more
     than a match, so text is matched before it is cast. The text appears once in
-    the expression, which keeps plans small where many cells are parsed.
+    the expression and is worked out once in generated code, which keeps plans small where many cells are parsed.
     """
 
-    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lit(0))
+    return F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
 
 
 def parse_double(text: Column) -> Column:
     """A finite double, or null for anything that is not a plain decimal number.
 
-    One match decides what is cast, and the size of the result whether it stays. The
+    One match decides what is cast, and what is too large for a double becomes null again. The
     text appears once in the expression, as in :func:`matched`.
     """
 
-    parsed = F.transform(F.array(strip(text)), lambda t: F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double")))
-    return F.get(F.filter(parsed, lambda value: F.abs(value) < F.lit(float("inf"))), F.lit(0))
+    value = matched(strip(text), NUMBER_PATTERN).try_cast("double")
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def number(text: Column, *, positive: bool = False) -> Column:

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 
 def last_wins(df: DataFrame, key: str, position: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per key, the one at the highest position.
+    """One row per key, the one at the highest position; positions are unique.
 
-    The aggregate keeps a single row per key and map task before the shuffle, so
-    a key that holds most of the rows costs no more than any other.
+    The highest position of each key comes from a hash aggregate over these two columns alone. Whole
+    rows are then fetched once, by key and position together: they are neither sorted nor kept in
+    aggregation buffers, and a key that holds most of the rows is spread over all tasks.
     """
 
     kept = [name for name in (columns or df.columns) if name not in (key, position)]
-    row = F.struct(*[F.col(name) for name in kept])
-    newest = df.groupBy(key).agg(F.max_by(row, position).alias("_row"), F.max(position).alias(position))
-    return newest.select(key, position, *[F.col("_row")[name].alias(name) for name in kept])
+    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(position).alias("_position")).hint("shuffle_hash")
+    chosen = df.join(newest, (F.col(key) == F.col("_key")) & (F.col(position) == F.col("_position")), "left_semi")
+    return chosen.select(key, position, *kept)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -144,15 +144,15 @@ def rule_bounds(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
 
 def gate_rules(
     df: DataFrame, rules: Sequence[Rule], checks: Sequence[Check], *, key: str, position: str,
-    epoch: str, previous: DataFrame | None = None,
+    epoch: str, previous: DataFrame | None = None, unique: bool = False,
 ) -> DataFrame:
     """One verdict per rule, rules without members included, from one tagging pass.
 
-    ``previous`` holds ``(rule, previous_count)`` of the last published members.
+    ``previous`` holds ``(rule, previous_count)`` of the last published members; ``unique`` says that no key repeats.
     """
 
     members = profile(
-        tag_members(df, rules), checks, key=key, position=position, epoch=epoch, keys=["rule"]
+        tag_members(df, rules), checks, key=key, position=position, epoch=epoch, keys=["rule"], unique=unique
     )
     rows = rule_bounds(df.sparkSession, rules).join(members, "rule", "left")
     rows = rows.withColumn("record_count", F.coalesce("record_count", F.lit(0).cast("bigint")))

@@ -36,3 +36,13 @@ def test_flagship(spark):
 def test_plans_have_no_python_and_no_cross_join(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("name", ["rule_gates", "element_gate_report", "gp_first_violation", "catalog_merge", "gp_gate_count_drop"])
+def test_plans_aggregate_without_sorting(spark, name):
+    assert "SortAggregate" not in QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["log_rolling_bytes", "log_rolling_bytes_all", "state_attempt_order", "star_list", "catalog_index_order"])
+def test_ranks_and_running_sums_use_no_single_partition(spark, name):
+    assert "SinglePartition" not in QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
