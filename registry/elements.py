@@ -11,6 +11,7 @@ from skyledger.operators import audit, dedup, quality, rules
 from skyledger.operators.digest import canonical_json, multiset_digest
 from skyledger.operators.gates import element_gate
 from skyledger.operators.state import stale_rules
+from skyledger.sinks.artifacts import element_json
 from skyledger.sources.elements import parse_element_lines, parse_element_objects
 
 FIELDS = {
@@ -159,6 +160,49 @@ def rule_membership(v: Inputs) -> DataFrame:
     return rules.tag_members(v.fx_gp, rules.SHIPPED_RULES).select("pos", "norad", "rule")
 
 
+def many_rules() -> list[rules.Rule]:
+    """Six hundred rules of every kind: starts, alternatives, inner texts, bounds, and both together."""
+
+    made = []
+    for i in range(100):
+        made += [
+            rules.Rule(f"start-{i}", "active", pattern=f"^STARLINK-{i}"),
+            rules.Rule(f"either-{i}", "active", pattern=f"^(ONEWEB-{i}|ONEWEB-{i}0|KUIPER-{i})"),
+            rules.Rule(f"digits-{i}", "active", pattern=rf"^GSAT{i:02d}\d{{2}}"),
+            rules.Rule(f"inner-{i}", "active", pattern=f"{i}7"),
+            rules.Rule(f"band-{i}", "active", minimum_mean_motion=0.1 + i / 10, maximum_mean_motion=0.35 + i / 8),
+            rules.Rule(f"both-{i}", "active", pattern="^BEIDOU-", minimum_mean_motion=0.15 * (i + 1)),
+        ]
+    return made
+
+
+def rule_membership_many(v: Inputs) -> DataFrame:
+    """Members of six hundred rules."""
+
+    return rules.tag_members(v.fx_gp, many_rules()).groupBy("rule").agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"), F.sum("norad").alias("norads"))
+
+
+PUBLISHED = ("object_name", "object_id", "epoch", "mean_motion", "eccentricity", "norad_cat_id", "element_set_no", "bstar", "mean_motion_dot", "mean_motion_ddot")
+
+
+def record_json(v: Inputs) -> DataFrame:
+    """Sound CSV records as they are published, numbers by the kind of their token."""
+
+    parsed = parse_element_lines(v.fx_gp_lines, HEADER).filter("damage is null")
+    return parsed.select("pos", element_json(parsed.select(*PUBLISHED)).alias("document"))
+
+
+def json_round_trip(v: Inputs) -> DataFrame:
+    """Published records read back: what the reader makes of them."""
+
+    parsed = parse_element_lines(v.fx_gp_lines, HEADER).filter("damage is null")
+    whole = parsed.drop("damage", "epoch_at", "pos")
+    again = parse_element_objects(parsed.select("pos", element_json(whole).alias("value")))
+    return again.select("pos", "damage", "object_name", "classification_type", "norad_cat_id", "mean_motion", "bstar", "mean_motion_ddot",
+                        F.col("epoch_at").cast("timestamp_ntz").alias("epoch_at"))
+
+
 def rule_counts(v: Inputs) -> DataFrame:
     """The source and its ten subsets from one scan."""
 
@@ -327,8 +371,8 @@ _LINE_DAMAGE = """case when pos % 97 in (1, 2) then 'wrong number of fields' whe
  when pos % 97 = 4 then 'malformed quoting' when pos % 89 in (1, 2) then 'invalid MEAN_MOTION'
  when pos % 89 = 3 then 'out-of-range ELEMENT_SET_NO' when pos % 89 in (4, 5) then 'non-finite BSTAR'
  when pos % 89 = 6 then 'invalid BSTAR' end"""
-_OBJECT_DAMAGE = """case pos % 79 when 1 then 'not an object' when 2 then 'missing fields: OBJECT_ID'
- when 4 then 'missing fields: EPOCH, INCLINATION' when 5 then 'missing fields: INCLINATION' end"""
+_OBJECT_DAMAGE = """case pos % 79 when 1 then 'not an object' when 2 then 'lacks OBJECT_ID'
+ when 4 then 'lacks EPOCH, INCLINATION' when 5 then 'lacks INCLINATION' end"""
 _SPARK_KINDS = """case when pos % 23 in (0, 1, 2, 14, 16, 21) then 'integer' when pos % 23 in (3, 4, 5, 17, 18, 20, 22) then 'float'
  when pos % 23 in (8, 9, 10, 19) then 'non-finite' when pos % 23 = 13 then 'out-of-range' else 'invalid' end"""
 
@@ -380,6 +424,24 @@ select pos, damage, case when damage is null then object_name end as object_name
  case when damage is null then mean_motion end as mean_motion, case when damage is null then 3.25::double end as mean_anomaly
 from (select *, {_OBJECT_DAMAGE} as damage from fx_gp)"""),
     "rule_membership": (rule_membership, "select pos, norad, rule from sx_members"),
+    "rule_membership_many": (rule_membership_many, """
+select rule, count(*) as n, min(pos) as first_pos, cast(sum(norad) as bigint) as norads from (
+ select g.*, concat(kind, '-', i) as rule from fx_gp g, (select unnest(range(100)) as i), (select unnest(['start', 'either', 'digits', 'inner', 'band', 'both']) as kind)
+ where case kind when 'start' then starts_with(object_name, concat('STARLINK-', i))
+  when 'either' then starts_with(object_name, concat('ONEWEB-', i)) or starts_with(object_name, concat('KUIPER-', i))
+  when 'digits' then regexp_matches(object_name, '^GSAT[0-9]{4}') and substr(object_name, 5, 2) = lpad(cast(i as varchar), 2, '0')
+  when 'inner' then contains(object_name, concat(i, '7'))
+  when 'band' then mean_motion >= 0.1::double + i / 10 and mean_motion <= 0.35::double + i / 8
+  else starts_with(object_name, 'BEIDOU-') and mean_motion >= 0.15::double * (i + 1) end) group by rule"""),
+    "gp_record_json": (record_json, f"""
+select pos, concat('{{{{"OBJECT_NAME":"', case when pos % 97 = 7 then 'X, Y \\"Z\\"' else object_name end, '","OBJECT_ID":"1998-067A","EPOCH":"',
+ replace(cast(epoch as varchar), ' ', 'T'), '","MEAN_MOTION":', mean_motion, ',"ECCENTRICITY":', eccentricity, ',"NORAD_CAT_ID":', norad,
+ ',"ELEMENT_SET_NO":999,"BSTAR":5.115E-5,"MEAN_MOTION_DOT":1.0E-6,"MEAN_MOTION_DDOT":0}}}}') as document
+from (select *, {_LINE_DAMAGE} as damage from fx_gp) where damage is null""".replace("{{", "{").replace("}}", "}")),
+    "gp_json_round_trip": (json_round_trip, f"""
+select pos, cast(null as varchar) as damage, case when pos % 97 = 7 then 'X, Y "Z"' else object_name end as object_name,
+ case when pos % 97 = 5 then 'U"' else 'U' end as classification_type, norad as norad_cat_id, mean_motion, 0.5115e-4::double as bstar, 0.0::double as mean_motion_ddot,
+ epoch as epoch_at from (select *, {_LINE_DAMAGE} as damage from fx_gp) where damage is null"""),
     "rule_counts": (rule_counts, """
 select rule, count(*) as record_count, min(epoch) as earliest_epoch, max(epoch) as latest_epoch
 from (select rule, epoch from sx_members union all select 'active', epoch from fx_gp) group by rule"""),

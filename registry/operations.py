@@ -185,20 +185,20 @@ def _old(at: str) -> str:
 
 _RUN = f"""
 select *, case when blocked then 'critical' when budget_exhausted or derived_failed <> 0 then 'warning' else coalesce(by_age, 'ok') end as severity,
- case when blocked then concat('CelesTrak is refusing requests (', coalesce(nullif(stop_reason, ''), 'refused'), '); ', summary)
-  when budget_exhausted then concat('daily byte budget spent; ', summary)
-  when derived_failed <> 0 then concat(derived_failed, ' derived dataset(s) failed to publish; ', summary)
+ case when blocked then concat('upstream refuses requests (', coalesce(nullif(stop_reason, ''), 'refused'), '); ', summary)
+  when budget_exhausted then concat('the day''s allowance is used up; ', summary)
+  when derived_failed <> 0 then concat(derived_failed, ' subsets not published; ', summary)
   when checked_at is null then summary else concat('last run ', {_old('checked_at')}, '; ', summary) end as detail
 from (select *, {_severity('checked_at', 64800, 129600)} as by_age, concat(published, ' published, ', printf('%.1f', daily_bytes / 1048576.0), ' MiB/24h',
  case when budget_bytes <> 0 then concat(' of ', printf('%.0f', budget_bytes / 1048576.0), ' MiB') else '' end) as summary from fx_runs)"""
 _CATALOGUE = f"""
 select site, ts, case when checked_at is null then 'critical' when by_age = 'ok' and not successful then 'warning' else by_age end as severity,
- case when checked_at is null then 'no usable checkedAt timestamp' else concat({_old('checked_at')}, case when successful then '' else
+ case when checked_at is null then 'no time of a run' else concat({_old('checked_at')}, case when successful then '' else
   concat('; last run ', coalesce(result, 'failed'), case when coalesce(error, '') <> '' then concat(': ', error) else '' end) end) end as detail
 from (select *, {_severity('checked_at', 129600, 259200)} as by_age from fx_catalogue_runs)"""
 _DATASETS = f"""
 select concat('gp:', e.dataset) as name, coalesce(by_age, 'critical') as severity,
- case when s.dataset is null then 'status document missing or unreadable' when last_success is null then 'no usable last_success timestamp'
+ case when s.dataset is null then 'no status row' when last_success is null then 'never published'
   else concat({_old('last_success')}, case when by_age <> 'ok' and coalesce(error, '') <> '' then concat('; last error: ', error) else '' end) end as detail
 from fx_expected e left join (select *, {_severity('last_success', 64800, 129600)} as by_age from sx_states) s on s.dataset = e.dataset"""
 _TREE = """select 'public-tree' as name, 'ok' as severity, concat(count(distinct dataset), ' records published') as detail from fx_state_log"""

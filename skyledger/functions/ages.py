@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from skyledger.functions.rounding import round_exact
+from skyledger.functions.text import zoned_instant
 
 # Severities in rising order.
 SEVERITIES = ("ok", "warning", "critical")
@@ -21,6 +22,12 @@ def age_seconds(instant: Column, as_of: Column) -> Column:
     return (micros(as_of) - micros(instant)) / F.lit(1_000_000.0)
 
 
+def age_of_text(instant: Column, as_of: Column) -> Column:
+    """The age of an instant given as text; null unless it states its zone."""
+
+    return age_seconds(zoned_instant(instant), as_of)
+
+
 def age_text(age: Column) -> Column:
     return F.format_string("%.1fh old", round_exact(age / F.lit(3600.0), 1))
 

@@ -32,8 +32,8 @@ def dataset_checks(
     return rows.select(
         F.concat(F.lit("gp:"), "dataset").alias("name"),
         F.coalesce(by_age, F.lit("critical")).alias("severity"),
-        F.when(missing, "status document missing or unreadable")
-        .when(age.isNull(), "no usable last_success timestamp")
+        F.when(missing, "no status row")
+        .when(age.isNull(), "never published")
         .otherwise(detail).alias("detail"),
     )
 
@@ -62,9 +62,9 @@ def run_verdict(as_of: Column) -> tuple[Column, Column]:
         F.when(blocked, "critical").when(spent | (failed != 0), "warning").otherwise(F.coalesce(by_age, F.lit("ok")))
     )
     detail = (
-        F.when(blocked, F.concat(F.lit("CelesTrak is refusing requests ("), reason, F.lit("); "), summary))
-        .when(spent, F.concat(F.lit("daily byte budget spent; "), summary))
-        .when(failed != 0, F.concat(failed.cast("string"), F.lit(" derived dataset(s) failed to publish; "), summary))
+        F.when(blocked, F.concat(F.lit("upstream refuses requests ("), reason, F.lit("); "), summary))
+        .when(spent, F.concat(F.lit("the day's allowance is used up; "), summary))
+        .when(failed != 0, F.concat(failed.cast("string"), F.lit(" subsets not published; "), summary))
         .when(age.isNull(), summary)
         .otherwise(F.concat(F.lit("last run "), age_text(age), F.lit("; "), summary))
     )
@@ -74,7 +74,7 @@ def run_verdict(as_of: Column) -> tuple[Column, Column]:
 def run_check(run: DataFrame, as_of: Column) -> DataFrame:
     """The fetch job itself, from the newest run row; no row is critical."""
 
-    return _or_missing(run, "gp-run", *run_verdict(as_of), "run summary missing or unreadable")
+    return _or_missing(run, "gp-run", *run_verdict(as_of), "no run row")
 
 
 def catalogue_verdict(as_of: Column) -> tuple[Column, Column]:
@@ -89,14 +89,14 @@ def catalogue_verdict(as_of: Column) -> tuple[Column, Column]:
     detail = F.concat_ws("; ", age_text(age), F.when(failed, outcome))
     return (
         F.when(age.isNull(), "critical").otherwise(severity_name(rank)),
-        F.when(age.isNull(), "no usable checkedAt timestamp").otherwise(detail),
+        F.when(age.isNull(), "no time of a run").otherwise(detail),
     )
 
 
 def catalogue_check(status: DataFrame, as_of: Column) -> DataFrame:
     """Catalogue freshness by when the job last ran."""
 
-    return _or_missing(status, "catalog", *catalogue_verdict(as_of), "status document missing or unreadable")
+    return _or_missing(status, "catalog", *catalogue_verdict(as_of), "no status row")
 
 
 def manifest_check(manifest: DataFrame) -> DataFrame:
@@ -107,8 +107,8 @@ def manifest_check(manifest: DataFrame) -> DataFrame:
         manifest, "public-tree",
         F.when(sound, "ok").otherwise("critical"),
         F.when(sound, F.concat(F.col("records").cast("string"), F.lit(" records published")))
-        .otherwise("manifest reports no records"),
-        "manifest missing or unreadable",
+        .otherwise("the manifest is empty"),
+        "no manifest",
     )
 
 

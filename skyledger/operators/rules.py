@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from skyledger.operators.literals import literal_rows
 from skyledger.operators.quality import Check, profile
 
 
+#: Rules up to this number are conditions in the plan itself.
+LITERAL_RULES = 64
+
+
 class RuleError(ValueError):
     """A rule list that must not be run."""
 
@@ -90,11 +95,12 @@ def _validate_rule(rule: Rule, sources: Sequence[str]) -> None:
 def check_patterns(spark: SparkSession, rules: Sequence[Rule]) -> None:
     """Reject patterns that the engine running them cannot read."""
 
+    compiled = spark._jvm.java.util.regex.Pattern
     for rule in rules:
         if rule.pattern is not None:
             try:
-                spark.range(1).select(F.lit("").rlike(rule.pattern)).collect()
-            except PySparkException as exc:
+                compiled.compile(rule.pattern)
+            except (PySparkException, Py4JJavaError) as exc:
                 raise RuleError(f"{rule.name}: bad pattern: {rule.pattern}") from exc
 
 
@@ -128,8 +134,15 @@ def matched_rules(rules: Sequence[Rule], name: str = "object_name", mean_motion:
 
 
 def tag_members(df: DataFrame, rules: Sequence[Rule], **columns: str) -> DataFrame:
-    """One row per record and rule it belongs to, from a single scan of the source."""
+    """One row per record and rule it belongs to, from a single scan of the source.
+
+    A few rules are literal conditions of one expression. Beyond that records look rules up by an index.
+    """
+
+    if len(rules) > LITERAL_RULES:
+        from skyledger.operators.rule_index import tag_members_indexed
 
+        return tag_members_indexed(df, rules, **columns)
     return df.withColumn("rule", F.explode(matched_rules(rules, **columns)))
 
 
@@ -137,9 +150,10 @@ def rule_bounds(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     """The rule list as a table; its size is that of the configuration."""
 
     rows = [(rule.name, rule.source, rule.minimum_records, rule.maximum_count_drop_fraction) for rule in rules]
-    return literal_rows(
-        spark, rows, {"rule": "string", "source": "string", "minimum_records": "bigint", "drop_fraction": "double"}
-    )
+    schema = {"rule": "string", "source": "string", "minimum_records": "bigint", "drop_fraction": "double"}
+    if len(rows) > LITERAL_RULES:
+        return spark.createDataFrame(rows, ", ".join(f"{name} {kind}" for name, kind in schema.items()))
+    return literal_rows(spark, rows, schema)
 
 
 def gate_rules(

@@ -19,6 +19,27 @@ def splice_json(dense: Column, sparse: Column) -> Column:
     return F.when(sparse == "{}", dense).otherwise(F.concat(head, F.lit(","), inner))
 
 
+#: Numbers of this field are published as whole ones where they are whole, as the feed writes them.
+WHOLE_WHERE_WHOLE = ("MEAN_MOTION_DDOT",)
+
+
+def element_json(records: DataFrame) -> Column:
+    """A record of an element set as published: the fields of ``records`` in their order, under the feed's names.
+
+    Whole-number fields are whole numbers, others have a fraction, and texts are texts, nulls included. Columns that only say
+    where a record stood, or what is wrong with it, do not belong in ``records``.
+    """
+
+    def cell(name: str) -> Column:
+        value = F.col(name)
+        if name.upper() in WHOLE_WHERE_WHOLE:
+            whole = (value == F.floor(value)) & (F.abs(value) < F.lit(float(2**53)))
+            return F.when(whole, value.cast("bigint").cast("variant")).otherwise(value.cast("variant")).alias(name.upper())
+        return value.alias(name.upper())
+
+    return canonical_json(*[cell(name) for name in records.columns])
+
+
 def index_rows(merged: DataFrame) -> DataFrame:
     """The narrow index; ``magEst`` and ``dataStatus`` are null for most rows."""
 

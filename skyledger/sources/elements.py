@@ -29,12 +29,12 @@ def split_header(line: str) -> list[str]:
     try:
         names = next(csv.reader([line.rstrip("\r\n")], strict=True), [])
     except csv.Error as exc:
-        raise DamagedSource(f"CSV header is malformed: {exc}") from exc
+        raise DamagedSource(f"header cannot be read: {exc}") from exc
     if not names:
-        raise DamagedSource("CSV response has no header row")
+        raise DamagedSource("no header line")
     missing = sorted(set(REQUIRED_FIELDS) - set(names))
     if missing:
-        raise DamagedSource(f"CSV header missing fields: {', '.join(missing)}")
+        raise DamagedSource(f"header lacks {', '.join(missing)}")
     return names
 
 
@@ -112,7 +112,7 @@ def file_faults(lines: DataFrame, header_line: str) -> DataFrame:
         F.min_by(is_header, F.col("pos")).alias("starts_with_header"),
     )
     fault = (
-        F.when(F.col("bytes") != F.col("file_size"), "does not end with a record terminator")
+        F.when(F.col("bytes") != F.col("file_size"), "last line is not ended")
         .when(~F.col("starts_with_header"), "header differs")
         .when(F.col("headers") != 1, "header is repeated")
     )
@@ -123,7 +123,7 @@ def read_header_line(spark: SparkSession, lines: DataFrame) -> str:
     files = sorted(lines.inputFiles())
     first = spark.read.option("lineSep", "\n").text(files[:1]).head() if files else None
     if first is None:
-        raise DamagedSource("CSV response has no header row")
+        raise DamagedSource("no header line")
     return first["value"].rstrip("\r")
 
 
@@ -160,7 +160,7 @@ def missing_fields(record: Column) -> Column:
     names = F.array(*[F.lit(name) for name in sorted(REQUIRED_FIELDS)])
     absent = F.filter(names, lambda name: ~F.map_contains_key(record, name))
     return F.when(record.isNull(), "not an object").when(
-        F.size(absent) > 0, F.concat(F.lit("missing fields: "), F.array_join(absent, ", "))
+        F.size(absent) > 0, F.concat(F.lit("lacks "), F.array_join(absent, ", "))
     )
 
 
@@ -214,7 +214,7 @@ def parse_element_documents(documents: DataFrame) -> DataFrame:
     absent = F.array_compact(F.array(*[
         F.when(F.try_variant_get("_record", f"$.{name}", "variant").isNull(), name) for name in sorted(REQUIRED_FIELDS)]))
     damage = F.when(~F.schema_of_variant("_record").startswith("OBJECT"), "not an object").when(
-        F.size(absent) > 0, F.concat(F.lit("missing fields: "), F.array_join(absent, ", ")))
+        F.size(absent) > 0, F.concat(F.lit("lacks "), F.array_join(absent, ", ")))
     cells = computed_once(
         dealt, *[F.try_variant_get("_record", f"$.{name}", "string").alias(name) for name in names], damage.alias("damage"), keep=["pos"])
     return cells.select(

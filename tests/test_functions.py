@@ -132,3 +132,9 @@ def test_age_bounds_are_inclusive(spark):
                      lambda c: ages.age_severity(c, warning=64_800, critical=129_600), "double")
     assert found == ["ok", "warning", "warning", "critical"]
     assert evaluate(spark, [900.0, 11_700.0], ages.age_text, "double") == ["0.2h old", "3.2h old"]
+
+
+def test_ages_of_texts_need_a_zone(spark):
+    as_of = F.lit("2026-08-09T13:00:00Z").cast("timestamp")
+    values = ["2026-08-09T12:00:00+00:00", "2026-08-09T14:00:00+02:00", "2026-08-09T12:00:00", "soon", None]
+    assert evaluate(spark, values, lambda c: ages.age_of_text(c, as_of)) == [3600.0, 3600.0, None, None, None]

@@ -75,7 +75,7 @@ def test_columns_bind_by_name(spark, landed):
 
 
 @pytest.mark.parametrize("content, reason", [
-    (body(element(1)).rstrip("\r\n"), "does not end with a record terminator"),
+    (body(element(1)).rstrip("\r\n"), "last line is not ended"),
     (body(element(1), element(2)[:60]), "CSV row 1: wrong number of fields"),
     (body(element(1) + ",9"), "CSV row 0: wrong number of fields"),
     (body(element(1), "", element(2)), "CSV row 1: blank line"),
@@ -86,7 +86,7 @@ def test_columns_bind_by_name(spark, landed):
     (body(element(1, bstar="NaN")), "CSV row 0: non-finite BSTAR"),
     (body(element("99999999999999999999")), "CSV row 0: out-of-range NORAD_CAT_ID"),
     (body(element(1), HEADER), "header is repeated"),
-    (b"\xef\xbb\xbf" + body(element(1)).encode(), "does not end with a record terminator"),
+    (b"\xef\xbb\xbf" + body(element(1)).encode(), "last line is not ended"),
     (body(element(1), element(2)).encode().replace(b"SAT", b"S\xff", 1), "CSV row 0: not UTF-8"),
 ])
 def test_damaged_csv(spark, landed, content, reason):
@@ -94,11 +94,11 @@ def test_damaged_csv(spark, landed, content, reason):
 
 
 def test_bad_headers(spark, landed):
-    with pytest.raises(DamagedSource, match="missing fields: EPOCH"):
+    with pytest.raises(DamagedSource, match="lacks EPOCH"):
         read_element_csv(spark, landed(body(header=HEADER.replace("EPOCH,", "", 1))))
-    with pytest.raises(DamagedSource, match="no header"):
+    with pytest.raises(DamagedSource, match="no header line"):
         read_element_csv(spark, landed(""))
-    with pytest.raises(DamagedSource, match="malformed"):
+    with pytest.raises(DamagedSource, match="cannot be read"):
         split_header('"A"B,C')
 
 
@@ -109,9 +109,9 @@ def test_json_sources(spark, landed):
     nulled = record | {"OBJECT_ID": None}
     lines = read_element_json_lines(spark, landed("\n".join(map(json.dumps, [record, partial, nulled, [1]])) + "\n", "a.jsonl"))
     found = [(row["damage"], row["norad_cat_id"]) for row in lines.orderBy("pos").collect()]
-    assert found == [(None, 5), ("missing fields: BSTAR, EPOCH", 5), (None, 5), ("not an object", None)]
+    assert found == [(None, 5), ("lacks BSTAR, EPOCH", 5), (None, 5), ("not an object", None)]
     whole = read_element_json_array(spark, landed(json.dumps([record, partial]), "a.json"))
-    assert sorted(str(row["damage"]) for row in whole.collect()) == ["None", "missing fields: BSTAR, EPOCH"]
+    assert sorted(str(row["damage"]) for row in whole.collect()) == ["None", "lacks BSTAR, EPOCH"]
 
 
 def test_satcat_file(spark, landed):
@@ -244,5 +244,5 @@ def test_json_array_tells_null_from_missing(spark, landed):
     del record["REV_AT_EPOCH"]
     lost = {key: value for key, value in record.items() if key != "OBJECT_ID"}
     found = read_element_json_array(spark, landed(json.dumps([record, lost, 5, None]), "a.json")).orderBy("pos").collect()
-    assert [row["damage"] for row in found] == [None, "missing fields: OBJECT_ID", "not an object", "not an object"]
+    assert [row["damage"] for row in found] == [None, "lacks OBJECT_ID", "not an object", "not an object"]
     assert (found[0]["mean_motion"], found[0]["eccentricity"], found[0]["norad_cat_id"], found[0]["rev_at_epoch"]) == (15.5, 1e-7, 5, None)
