@@ -113,6 +113,18 @@ def grams_of(lines: list[bytes], trains: list[bool]) -> tuple[np.ndarray, np.nda
     return merged(np.concatenate(keys), np.concatenate(counts))
 
 
+def placed_grams(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different grams of some lines in order, the place of each byte's gram among them, and line starts."""
+
+    code, starts = codes_of(lines)
+    order = np.argsort(code)
+    code = code[order]
+    new = np.concatenate(([True], code[1:] != code[:-1]))
+    place = np.empty(len(code), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return code[new], place, starts
+
+
 def gram_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     """By the last two bytes of context, so that all nodes below them meet."""
 
@@ -373,14 +385,15 @@ def _score_block(buckets: int, train_tokens: int, known: int, end_count: int) ->
                 value.update(zip(part, np.log10(restored(given[WORDS, bucket], np.int64) + 0.1).tolist()))
         met = {w for w, v in value.items() if v > 0}  # a count of one or more
         end = float(np.log10(end_count + 0.1))
-        keys, _ = grams_of(lines, trains)
+        found = [placed_grams(part) for part in slices_of(lines)]
+        keys = np.unique(np.concatenate([f[0] for f in found]))
         own, by_key = gram_buckets(keys, buckets), np.zeros(len(keys))
         for bucket in np.unique(own):
             by_key[own == bucket] = np.frombuffer(given[GRAMS, int(bucket)], np.float32)
         n_tokens, n_known, base, scores = [], [], [], []
-        for part in slices_of(lines):
-            code, starts = codes_of(part)
-            scores.append(np.add.reduceat(by_key[np.searchsorted(keys, code)], starts))
+        for part, (seen, place, starts) in zip(slices_of(lines), found):
+            # Grams in order are looked up side by side, and each byte then has the place of its own.
+            scores.append(np.add.reduceat(by_key[np.searchsorted(keys, seen)][place], starts))
             for line in part:
                 mine = line.split(b" ") if line else []
                 n_tokens.append(len(mine) + 1)
