@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.session import materialize
+
 #: The white space between words: space and the ASCII controls from tab to return.
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Rows of one Arrow batch. Whole texts may be long, so batches hold few of them.
@@ -36,6 +38,25 @@ def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, or a longer one that no column has."""
+
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
+def numbered(docs: DataFrame, label: str = "numbered") -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, and that column's name.
+
+    Written once, so that all that is found of a row later is found under the same number.
+    """
+
+    name = free_name("_row", docs.columns)
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
 def texts_of(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text of an Arrow string column, one at a time."""
 

@@ -25,7 +25,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import ids_and_texts
+from skyledger.llm.common import free_name, ids_and_texts
 from skyledger.session import materialize
 
 #: Strict kinds first; the order breaks ties of position. The patterns of the strict kinds
@@ -250,19 +250,22 @@ def personal_digests(found: DataFrame) -> DataFrame:
 def masked(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets; overlapping spans give way to the earlier.
 
-    The rows of ``found`` are matched to rows of ``docs`` by id, and texts with the same id have to be the same.
+    ``id_col`` has to tell rows apart (:func:`skyledger.llm.common.numbered` gives such a column): spans are places in
+    one row's text and fit no other. A row whose id ``found`` does not have keeps its text. Columns of ``docs`` may have any names.
     """
 
-    chosen = found.filter(F.size("spans") > 0).groupBy(F.col("id").alias("_span_id")).agg(F.first("spans").alias("_spans"))
-    joined = docs.join(chosen, F.col(f"`{id_col}`") == F.col("_span_id"), "left")
+    key, spans, walked = (free_name(name, docs.columns) for name in ("span_id", "spans", "walked"))
+    chosen = found.filter(F.size("spans") > 0).select(F.col("id").alias(key), F.col("spans").alias(spans))
+    joined = docs.join(chosen, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left")
+    original = F.col(f"`{text_col}`")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def put(done: Column, span: Column) -> Column:
-        taken = F.substring(F.col(f"`{text_col}`"), (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        taken = F.substring(original, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
         return F.when(span["start"] < done["at"], done).otherwise(F.struct(
             span["end"].alias("at"), F.concat(done["out"], taken, F.lit("<"), F.upper(span["name"]), F.lit(">")).alias("out")))
 
-    walked = F.aggregate("_spans", start, put)
-    tail = F.expr(f"substring(`{text_col}`, CAST(_walked.at + 1 AS INT))")
-    text = F.when(F.col("_spans").isNull(), F.col(f"`{text_col}`")).otherwise(F.concat(F.col("_walked.out"), tail))
-    return joined.withColumn("_walked", walked).withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    tail = F.substr(original, (F.col(f"{walked}.at") + 1).cast("int"))
+    text = F.when(F.col(spans).isNull(), original).otherwise(F.concat(F.col(f"{walked}.out"), tail))
+    done = joined.withColumn(walked, F.aggregate(spans, start, put))
+    return done.select(*[(text.alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns])
