@@ -1,18 +1,19 @@
 """A corpus pipeline of five stages over ``documents``.
 
 Every stage but the last returns the columns of ``documents``. Texts are whole throughout,
-and each stage reads all that the one before it kept. A null id or text passes through as an
-empty text; repeated rows stay as often as they occur, except where the join keeps one of a
-group. Without rows each stage returns none.
+and each stage reads all that the one before it kept. Stages tell rows apart by a number of their own and not by
+``doc_id``: rows with a null or repeated id are judged, kept and masked each by its own text. A null
+text passes through as an empty one; repeated rows stay as often as they occur, except that the join keeps one row of a
+group of linked texts. Further columns are kept whatever their names. Without rows each stage returns none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import contamination, jaccard, pieces, pii, quality
-from skyledger.llm.common import table
+from skyledger.llm.common import numbered, table
 from skyledger.llm.models import piece_model
 from skyledger.session import materialize
 
@@ -24,30 +25,34 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Leave out what the network rejects; it learns from all labelled documents."""
 
     network = quality.fit_quality(docs, table(spark, sf_dir, "labels"), held_fold=None)
-    return _without(docs, quality.score_quality(docs, network).filter(F.col("score") < QUALITY_THRESHOLD).select("id"))
+    rows, row = numbered(docs)
+    return _without(rows, row, quality.score_quality(rows, network, row).filter(F.col("score") < QUALITY_THRESHOLD))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of linked sets; a repeated id stays once."""
+    """Keep the row with the smallest id of each group of linked sets; a null id is larger than any other."""
 
-    groups = jaccard.jaccard_components(docs)
-    kept = groups.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
-    return joined.withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").drop("_copy")
+    rows, row = numbered(docs)
+    groups = jaccard.jaccard_components(rows, row).select("id", "component_id")
+    named = rows.select(F.col(row).alias("id"), F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col(row).alias("row")).alias("place"))
+    first = groups.join(named, "id").groupBy("component_id").agg(F.min("place").alias("place")).select(F.col("place.row").alias("id"))
+    return rows.join(first, rows[row] == first["id"], "left_semi").drop(row)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that hold a passage of the benchmark."""
 
-    found = contamination.find_passages(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter(F.size("hit_words") > 0).select("id"))
+    rows, row = numbered(docs)
+    found = contamination.find_passages(rows, table(spark, sf_dir, "benchmark"), row)
+    return _without(rows, row, found.filter(F.size("hit_words") > 0))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace each personal span by its kind."""
 
-    return pii.masked(docs, pii.find_personal_data(docs)).withColumn("n_chars", F.length("text").cast("long"))
+    rows, row = numbered(docs)
+    clean = pii.masked(rows, pii.find_personal_data(rows, row), row).drop(row)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +61,8 @@ def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(pieces.encode_pieces(docs, piece_model()))
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.distinct(), docs["doc_id"].eqNullSafe(ids["id"]), "left_anti")
+def _without(rows: DataFrame, row: str, rejected: DataFrame) -> DataFrame:
+    return rows.join(rejected.select("id"), rows[row] == rejected["id"], "left_anti").drop(row)
 
 
 STAGES = [
