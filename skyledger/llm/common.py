@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from skyledger.session import materialize
 
 #: The white space between words: space and the ASCII controls from tab to return.
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Bits of a row's place in its file.
+FILE_ROW_BITS = 40
 #: Rows of one Arrow batch. Whole texts may be long, so batches hold few of them.
 BATCH_ROWS = 128
 
@@ -48,13 +51,27 @@ def free_name(name: str, taken: Iterable[str]) -> str:
 
 
 def numbered(docs: DataFrame, label: str = "numbered") -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, and that column's name.
+    """``docs`` with a number for each row, and that column's name; a row keeps its number however often it is read.
 
-    Written once, so that all that is found of a row later is found under the same number.
+    Rows that come straight from Parquet files are numbered by their file and their place in it. Others are
+    written once with a number.
     """
 
-    name = free_name("_row", docs.columns)
-    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+    name, file = free_name("_row", docs.columns), free_name("_file", docs.columns)
+    try:
+        place = docs.metadataColumn("_metadata")
+        rows = docs.select("*", place["row_index"].alias(name), place["file_path"].alias(file))
+    except AnalysisException:
+        return materialize(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+    # A row a file.
+    files = sorted(r[0] for r in rows.select(file).distinct().collect())
+    if len(files) >= 1 << (63 - FILE_ROW_BITS):
+        return materialize(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+    order = free_name("_order", [*rows.columns])
+    places = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)))), f"`{file}` string, `{order}` long")
+    number = F.shiftleft(F.col(order), FILE_ROW_BITS) + F.col(name)
+    numbers = rows.join(F.broadcast(places), file)
+    return numbers.select(*[F.col(f"`{c}`") for c in docs.columns], number.alias(name)), name
 
 
 def texts_of(column: pa.Array) -> Iterator[bytes]:

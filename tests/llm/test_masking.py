@@ -26,3 +26,20 @@ def test_rows_are_masked_by_their_own_spans(spark):
 def test_free_names(spark):
     assert (free_name("a", ["b"]), free_name("a", ["A", "_a"])) == ("a", "__a")
     assert numbered(spark.range(3).select(F.col("id").alias("_ROW")))[1] == "__row"
+
+
+def test_rows_of_files_keep_their_numbers(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.range(5000, numPartitions=3).select(F.col("id"), F.lit("x").alias("_row"), (F.col("id") % 7).alias("k")).write.parquet(path)
+    docs = spark.read.parquet(path)
+    numbers, row = numbered(docs)
+    assert "Exchange" not in numbers._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+    first = {r.id: r[row] for r in numbers.collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4KB")
+    try:
+        again = {r.id: r[row] for r in numbers.filter("k = 3").select("id", row).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(set(first.values())) == 5000 and all(first[i] == n for i, n in again.items()) and len(again) == 714
+    assert numbered(spark.read.parquet(path).union(docs))[0].count() == 10000
+    assert numbered(docs.filter("false"))[0].collect() == []
