@@ -57,6 +57,32 @@ class CharMap:
             size = struct.unpack_from("<I", blob)[0]
             self.units = struct.unpack_from(f"<{size // 4}I", blob, 4)
             self.strings = blob[4 + size:]
+        self.starts = self._starts()
+
+    def _child(self, base: int, byte: int) -> tuple[int, int] | None:
+        """The place and the unit of a child, if there is one."""
+
+        node = base ^ byte
+        if node < len(self.units) and self.units[node] & 0x800000FF == byte:
+            return node, self.units[node]
+        return None
+
+    def _starts(self) -> np.ndarray:
+        """``[first, second]``: whether a key may start with these two bytes, or is the first alone."""
+
+        found = np.zeros((256, 256), bool)
+        for first in range(1, 256) if self.units else ():
+            child = self._child(self._offset(self.units[0]), first)
+            if child is not None:
+                node, unit = child
+                base = node ^ self._offset(unit)
+                found[first] = unit >> 8 & 1 or [second > 0 and self._child(base, second) is not None for second in range(256)]
+        return found
+
+    def places(self, data: np.ndarray) -> np.ndarray:
+        """Where a key may start in a text; everywhere else the text maps to itself."""
+
+        return np.flatnonzero(self.starts[data, np.append(data[1:], np.uint8(0))]) if self.units and len(data) else np.zeros(0, np.int64)
 
     def __bool__(self) -> bool:
         return bool(self.units)
@@ -105,7 +131,42 @@ class Normalizer:
         return taken, text[at:at + taken]
 
     def __call__(self, text: bytes) -> tuple[bytes, np.ndarray]:
-        """Normalised bytes, and for each of them (and the end) its offset in the original bytes."""
+        """Normalised bytes, and for each of them (and the end) its offset in the original bytes.
+
+        Keys are looked for where one may start; stretches between them map to themselves at once, byte by byte. All bytes
+        of a replacement lie at the place of its key.
+        """
+
+        data = np.frombuffer(text, np.uint8)
+        parts, origins, at = [], [], 0
+        for place in self.map.places(data).tolist():
+            if place < at or (hit := self.map.longest(text, place)) is None:
+                continue
+            taken, piece = hit
+            if self.squeeze_blanks and b" " in piece:
+                return self._by_step(text)
+            parts += [text[at:place], piece]
+            origins += [np.arange(at, place), np.full(len(piece), place)]
+            at = place + taken
+        out = b"".join([*parts, text[at:]])
+        origin = np.concatenate([*origins, np.arange(at, len(text))]) if parts else np.arange(len(text))
+        if self.squeeze_blanks:
+            blank = np.frombuffer(out, np.uint8) == 32
+            kept = np.flatnonzero(~(blank & np.append(True, blank[:-1])))
+            out, origin = np.frombuffer(out, np.uint8)[kept].tobytes(), origin[kept]
+        if not out:
+            return b"", np.array([len(text)])
+        blank = SPACE_MARK if self.mark_blanks else b" "
+        width = np.where(np.frombuffer(out, np.uint8) == 32, len(blank), 1)
+        first = np.full(len(blank), origin[0]) if self.dummy_prefix else np.zeros(0, np.int64)
+        out = (blank if self.dummy_prefix else b"") + out.replace(b" ", blank)
+        origin, size = np.concatenate([first, np.repeat(origin, width), [len(text)]]), len(out)
+        while self.squeeze_blanks and out.endswith(blank, 0, size):
+            size -= len(blank)
+        return out[:size], origin[:size + 1]
+
+    def _by_step(self, text: bytes) -> tuple[bytes, np.ndarray]:
+        """The same, one key or character after the other: where replacements bring blanks of their own."""
 
         out, origin, at = bytearray(), [], 0
         blank = SPACE_MARK if self.mark_blanks else b" "
@@ -118,19 +179,19 @@ class Normalizer:
         if at == len(text):
             return b"", np.array([at])
 
-        def put(piece: bytes, place: int) -> None:
+        def put(piece: bytes, place: int, copied: bool) -> None:
             out.extend(piece)
-            origin.extend([place] * len(piece))
+            origin.extend(range(place, place + len(piece)) if copied else [place] * len(piece))
 
         if self.dummy_prefix:
-            put(blank, at)
+            put(blank, at, False)
         after_blank = self.squeeze_blanks
         while at < len(text):
             taken, piece = self._step(text, at)
             if self.squeeze_blanks and after_blank:
                 piece = piece.lstrip(b" ")
             if piece:
-                put(piece.replace(b" ", blank), at)
+                put(piece.replace(b" ", blank), at, piece == text[at:at + taken] and piece != b" ")
                 after_blank = self.squeeze_blanks and piece.endswith(b" ")
             at += taken
         end = at

@@ -3,12 +3,10 @@
 ``encode_pieces`` gives for every row the ids, the half-open byte span of each id in the
 original UTF-8 text, and the text that the ids decode to. The ids are the library's.
 
-* Normalisation goes through the model's compiled character map by longest prefix and
-  records for each output byte its place in the original (``charmap.Normalizer``); spans
-  of pieces in the normalised text are projected back through that record.
-* Without a character map every piece has a fixed width in the original: its own bytes, one
-  byte for each blank mark. Spans are then running sums of widths. A model with a map, or a
-  text that holds the blank mark itself, is aligned byte by byte.
+Every text goes through the model's compiled character map by longest prefix, which records for each normalised
+byte its place in the original (``charmap.Normalizer``). Pieces lie one after the other in the normalised text, and
+their ends there are projected back through that record. A piece that stands for unknown text is as wide as
+what the library read, and widths that do not add up to the normalised text are an error.
 
 Null and empty texts have the end id only, with an empty span. Rows are neither dropped
 nor joined, so repeated ids give repeated rows. Work is per row: nothing is shuffled.
@@ -36,28 +34,24 @@ class PieceCodec:
 
     def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        parts, kinds = [], []
+        parts = []
         spec = trainer = b""
         for number, value in charmap.proto_fields(model):
             if number == charmap.PIECE_FIELD:
                 piece = dict(charmap.proto_fields(value))
                 parts.append(piece[1].decode())
-                kinds.append(piece.get(3, 1))
             elif number == charmap.NORMALIZER_FIELD:
                 spec = value
             elif number == charmap.TRAINER_FIELD:
                 trainer = value
         self.normalizer = charmap.Normalizer.from_spec(spec)
+        self.unknown = self.library.unk_id()
         asked = dict(charmap.proto_fields(trainer))
         if asked.get(24, 0):
             raise ValueError("models with blanks at the end of words are not supported")
-        self.fixed_width = (
-            not self.normalizer.map and self.normalizer.dummy_prefix and self.normalizer.mark_blanks
-            and not self.normalizer.squeeze_blanks and charmap.USER_DEFINED not in kinds and bool(asked.get(35, 0))
-        )
-        # Bytes of the original under each piece, if a blank is one byte there.
-        self.width = np.array([1 if self.library.is_byte(i) else 0 if self.library.is_control(i)
-                               else len(p.encode()) - 2 * p.count("▁") for i, p in enumerate(parts)], np.int64)
+        # Bytes of the normalised text under each piece.
+        self.width = np.array([1 if self.library.is_byte(i) else 0 if self.library.is_control(i) else len(p.encode())
+                               for i, p in enumerate(parts)], np.int64)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
         """For each text the ids with the end id, and the starts and ends of their byte spans."""
@@ -65,15 +59,14 @@ class PieceCodec:
         end_id = self.library.eos_id()
         for text in texts:
             ids = self.library.encode(text)
-            if self.fixed_width and "▁" not in text:
-                # The first mark stands for no byte of the text.
-                ends = np.cumsum(self.width[np.array(ids, np.int32)]) - 1
-                yield self._closed(ids, np.concatenate(([0], ends[:-1])) if ids else ends, ends, end_id)
-                continue
-            _, origin = self.normalizer(text.encode())
-            surfaces = self.library.encode(text, out_type=str)
-            width = np.array([1 if self.library.is_byte(i) else len(s.encode()) for i, s in zip(ids, surfaces)], np.int64)
+            normal, origin = self.normalizer(text.encode())
+            width = self.width[np.array(ids, np.int32)]
+            if self.unknown in ids:
+                surfaces = self.library.encode(text, out_type=str)
+                width = np.array([len(s.encode()) if i == self.unknown else w for i, s, w in zip(ids, surfaces, width)], np.int64)
             stops = np.cumsum(width)
+            if len(stops) and stops[-1] != len(normal):
+                raise ValueError("the pieces are not those of the normalised text")
             yield self._closed(ids, origin[stops - width], origin[stops], end_id)
 
     @staticmethod
@@ -124,7 +117,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
 
 def piece_digests(encoded: DataFrame) -> DataFrame:
-    """Counts and digests of encoded texts, and the number of original bytes that their spans reach."""
+    """Counts and digests of encoded texts; ``spans_sha256`` is over all starts, then all ends, as decimals."""
 
     return encoded.select(
         F.col("id").alias("doc_id"),
@@ -132,4 +125,5 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.element_at("ends", -1).cast("long").alias("span_bytes"),
+        F.sha2(F.concat_ws(" ", F.concat("starts", "ends").cast("array<string>")), 256).alias("spans_sha256"),
     )
