@@ -138,27 +138,31 @@ class Normalizer:
         """
 
         data = np.frombuffer(text, np.uint8)
-        parts, origins, at = [], [], 0
+        parts, origins, at, replaced = [], [], 0, len(text)
         for place in self.map.places(data).tolist():
             if place < at or (hit := self.map.longest(text, place)) is None:
                 continue
             taken, piece = hit
             if self.squeeze_blanks and b" " in piece:
                 return self._by_step(text)
+            replaced = min(replaced, place)
             parts += [text[at:place], piece]
             origins += [np.arange(at, place), np.full(len(piece), place)]
             at = place + taken
         out = b"".join([*parts, text[at:]])
         origin = np.concatenate([*origins, np.arange(at, len(text))]) if parts else np.arange(len(text))
+        lead = 0
         if self.squeeze_blanks:
+            # What is skipped at the start, up to the first key.
+            lead = min(len(text) - len(text.lstrip(b" ")), replaced)
             blank = np.frombuffer(out, np.uint8) == 32
             kept = np.flatnonzero(~(blank & np.append(True, blank[:-1])))
             out, origin = np.frombuffer(out, np.uint8)[kept].tobytes(), origin[kept]
-        if not out:
+        if lead == len(text):
             return b"", np.array([len(text)])
         blank = SPACE_MARK if self.mark_blanks else b" "
         width = np.where(np.frombuffer(out, np.uint8) == 32, len(blank), 1)
-        first = np.full(len(blank), origin[0]) if self.dummy_prefix else np.zeros(0, np.int64)
+        first = np.full(len(blank), lead) if self.dummy_prefix else np.zeros(0, np.int64)
         out = (blank if self.dummy_prefix else b"") + out.replace(b" ", blank)
         origin, size = np.concatenate([first, np.repeat(origin, width), [len(text)]]), len(out)
         while self.squeeze_blanks and out.endswith(blank, 0, size):

@@ -13,7 +13,7 @@ from skyledger.llm.models import piece_model
 FOLDER = "/root/testdata/sf0.001"
 MAP = {"ﬁ": "fi", "　": " ", "Ａ": "A", "é": "é", "½": "1 2", "\x07": "", "\t": " ", "abc": "x", "abcd": "yy", "ab": "q", "…": "...", "ſ": "s"}
 TEXTS = ["", " ", "  two  blanks ", "Hello world", "ﬁne　Ａ éé ½ cup", "abcd abc ab a", "abababcdab", "tab\there\x07", "日本語 \U0001f600 naïve", "▁mark▁ and ▁",
-         "line\nfeed\r\n", "  x", "½½", " …ſ ", "a\x00b", "x" * 3000, "word " * 2000, "ﬁ" * 500, "　　ﬁ　　"]
+         "line\nfeed\r\n", "  x", "½½", " …ſ ", "a\x00b", "x" * 3000, "word " * 2000, "ﬁ" * 500, "　　ﬁ　　", "\x07", " \x07 x", "\x07 "]
 
 
 def compiled(keys):
