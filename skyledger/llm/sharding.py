@@ -8,7 +8,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import ids_and_texts
 from skyledger.operators.prefix import running_totals
 from skyledger.session import materialize
 
