@@ -6,8 +6,9 @@ response in the chunk is kept. The chunks' responses are averaged over the text
 the logarithm of its length, combined by a small hidden layer into one probability.
 
 The network is fitted on at most ``FIT_ROWS`` labelled rows of each class, the smallest by a
-hash of their id, and on at most ``FIT_CHARS`` characters of each, from a place chosen by
-hash; it scores whole texts, a bounded number of chunks at a time.
+hash of their id. Of each it sees ``FIT_CHUNKS`` chunks, evenly spread from the first to the last, or
+all if there are no more, and the length of the whole text; so neither a long text nor many of
+them grow what reaches the driver. It scores whole texts, a bounded number of chunks at a time.
 
 Null and empty texts are one chunk of padding and get a score like any other. Rows without a
 label teach nothing. If a class has no rows, every score is the share of the other class. A
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import fold_of, ids_and_texts, small_batches, texts_of
 
-FIT_ROWS, FIT_CHARS = 2_500, 3_000
+FIT_ROWS, FIT_CHUNKS = 2_500, 16
 CHUNK, STEP = 256, 192
 WIDTH, STRIDE, EMBEDDED, FILTERS, HIDDEN = 8, 2, 4, 32, 16
 EPOCHS, BATCH, RATE = 10, 32, 0.004
@@ -41,6 +42,15 @@ def chunks_of(text: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(flat, CHUNK)[::STEP]
 
 
+def spread_chunks(text: bytes, most: int) -> np.ndarray:
+    """``most`` chunks of a text, evenly spread from the first to the last; all of them, if there are no more."""
+
+    cut = chunks_of(text)
+    if len(cut) > most:
+        cut = cut[np.arange(most) * (len(cut) - 1) // max(1, most - 1)]
+    return np.ascontiguousarray(cut)
+
+
 class Network:
     """Embedding, filters, largest responses, hidden layer, probability."""
 
@@ -106,15 +116,16 @@ class Network:
                 "hidden": f["mean"].T @ back, "hidden_bias": back.sum(0), "out": f["hidden"].T @ wrong,
                 "out_bias": wrong.sum(keepdims=True)}
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
-        rng, cut = np.random.default_rng(seed), [chunks_of(t) for t in texts]
-        length = np.array([len(t) for t in texts])
+    def fit(self, cut: list[np.ndarray], length: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
+        """Learn from the chunks, the length in bytes and the label of each text."""
+
+        rng = np.random.default_rng(seed)
         share = np.bincount(labels, minlength=2) / len(labels)
         weight = 0.5 / share[labels]
         moments = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in self.values.items()}
-        step, last = 0, epochs * -(-len(texts) // BATCH)
+        step, last = 0, epochs * -(-len(cut) // BATCH)
         for _ in range(epochs):
-            order = rng.permutation(len(texts))
+            order = rng.permutation(len(cut))
             for at in range(0, len(order), BATCH):
                 rows, step = order[at:at + BATCH], step + 1
                 slopes = self.slopes([cut[r] for r in rows], length[rows], labels[rows], weight[rows])
@@ -138,8 +149,22 @@ class Constant:
         return np.full(len(texts), self.p)
 
 
+def _cutter(most: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, cut = [], []
+            for text in texts_of(batch.column(2)):
+                length.append(len(text))
+                cut.append(spread_chunks(text, most).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(length, pa.int64()), pa.array(cut, pa.binary())],
+                names=["id", "label", "length", "chunks"])
+
+    return run
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-                rows: int = FIT_ROWS, chars: int = FIT_CHARS, folds: int = 3, held_fold: int | None = 1):
+                rows: int = FIT_ROWS, chunks: int = FIT_CHUNKS, folds: int = 3, held_fold: int | None = 1):
     """A network fitted on a bounded sample of the labelled rows outside ``held_fold``."""
 
     marked = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter(
@@ -155,15 +180,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         chosen = part if chosen is None else chosen.union(part)
     # At most 2 x rows ids, so this side is small whatever the input.
     pairs = ids_and_texts(docs, id_col, text_col).join(F.broadcast(chosen), "id")
-    start = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.length("text") - chars)).cast("int") + 1
+    small_batches(docs.sparkSession)
+    key = pairs.schema["id"].dataType.simpleString()
+    cut = pairs.select("id", "label", "text").mapInArrow(_cutter(chunks), f"id {key}, label int, length long, chunks binary")
     # Ids that repeat may bring more rows than the sample holds.
-    sample = pairs.select("id", "label", F.substring("text", start, F.lit(chars)).alias("text")).orderBy(
-        F.xxhash64("id"), "id", "text").limit(2 * rows).collect()
+    sample = cut.orderBy(F.xxhash64("id"), "id", "length", "chunks").limit(2 * rows).collect()
     seen = np.array([r["label"] for r in sample], np.int64)
     if len(set(seen.tolist())) < 2:
         return Constant(float(max(shares, key=shares.get)))
     network = Network()
-    network.fit([r["text"].encode() for r in sample], seen)
+    network.fit([np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in sample],
+                np.array([r["length"] for r in sample], np.int64), seen)
     # The sample is balanced by class; the labelled rows are not.
     sampled = np.bincount(seen, minlength=2)
     network.values["out_bias"] += np.float32(np.log(shares[1] / shares[0]) - np.log(sampled[1] / sampled[0]))
