@@ -41,6 +41,8 @@ GRAPH_NEIGHBOURS = 12
 PART_SAMPLES = 60
 MASS, LEAST = 0.96, 4
 PIECE_ROWS = 4_000
+#: Bound of a component while routing; scores are of the vectors as they are.
+LARGEST = 1e15
 
 
 def neighbour_graph(x: np.ndarray, k: int, block: int = 512) -> np.ndarray:
@@ -148,8 +150,14 @@ def fit_router(x: np.ndarray, graph: np.ndarray, label: np.ndarray, rounds: int
     return router
 
 
+def _routable(x: np.ndarray) -> np.ndarray:
+    """Single precision for routing only; what is too large for sums of squares there is clipped."""
+
+    return np.ascontiguousarray(np.clip(x, -LARGEST, LARGEST), np.float32)
+
+
 def fit_index(x: np.ndarray, part_rows: int = PART_SAMPLES, k: int = GRAPH_NEIGHBOURS) -> Router:
-    x = np.ascontiguousarray(x, np.float32)
+    x = _routable(x)
     if len(x) <= part_rows:
         return Router(np.zeros((x.shape[1], 1), np.float32), np.zeros(1, np.float32))
     graph = neighbour_graph(x, k)
@@ -157,9 +165,10 @@ def fit_index(x: np.ndarray, part_rows: int = PART_SAMPLES, k: int = GRAPH_NEIGH
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vec) of the rows that take part, each once."""
+    """(id, vec) of the rows that take part, each once; single-precision vectors stay so, others are doubles."""
 
-    named = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<float>").alias("vec"))
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    named = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast(kind).alias("vec"))
     sound = named.filter(
         F.col("id").isNotNull() & F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
         & F.exists("vec", lambda v: v != 0)).dropDuplicates(["id", "vec"])
@@ -175,9 +184,9 @@ def distinct_vectors(sound: DataFrame, keep: int) -> DataFrame:
     return ranked.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("rep"), "vec", "ids")
 
 
-def _matrix(column: pa.Array, kind=np.float32) -> np.ndarray:
+def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1)
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _router_over(shared, mass: float | None, least: int) -> Callable:
@@ -188,7 +197,7 @@ def _router_over(shared, mass: float | None, least: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1))
+            x = _routable(_matrix(batch.column(1)))
             rows, parts = (np.arange(len(x)), router.home(x)) if mass is None else router.routes(x, mass, least)
             taken = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(parts.astype(np.int32))], names=["rep", "vec", "part"])
@@ -202,7 +211,7 @@ def _compare(keep: int, block: int = 256) -> Callable:
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         out = {"query": [], "rep": [], "score": []}
         if queries.num_rows and candidates.num_rows:
-            q, v = _matrix(queries["vec"], np.float64), _matrix(candidates["vec"], np.float64)
+            q, v = (_matrix(t["vec"]).astype(np.float64) for t in (queries, candidates))
             names, reps = queries["rep"].to_numpy(), candidates["rep"].to_numpy()
             for at in range(0, len(q), block):
                 rough = q[at:at + block] @ v.T
@@ -237,7 +246,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     if sample.empty:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(fit_index(np.stack(sample["vec"].to_numpy()), part_rows))
-    schema = "rep long, vec array<float>, part int"
+    schema = f"rep long, vec {groups.schema['vec'].dataType.simpleString()}, part int"
     homes = materialize(groups.select("rep", "vec").mapInArrow(_router_over(shared, None, least), schema), "homes")
     sizes = {r["part"]: r["count"] for r in homes.groupBy("part").count().collect()}  # a row for each part
     pieces = np.ones(max(sizes) + 1, int)
