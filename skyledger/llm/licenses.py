@@ -14,12 +14,15 @@ place that may matter, overlap all along the text.
   ``(1 - 0.36) ** 48``, less than one in a thousand million.
 * *Verification.* The share of the template's shingles that the window holds is counted exactly.
 
-Null and empty texts have no notices. Templates are a parameter and are bounded: they are
-literals of the plan. Repeated templates give repeated names; repeated texts are separate rows.
+Null and empty texts have no notices. Templates are a parameter; they are literals of the plan,
+``TEMPLATES_AT_ONCE`` in each of as many scans as it takes, all with the windows that the lengths of
+all templates ask for. Equal templates are found under each of their names; repeated texts are separate rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +33,7 @@ SHINGLE = 5
 CONTAINED = 0.8
 BANDS, ROWS = 48, 1
 WORDS = r"[a-z0-9]+"
-MAX_TEMPLATES = 2_000
+TEMPLATES_AT_ONCE = 500
 
 #: Notices by name (fixed values).
 TEMPLATES = {
@@ -79,8 +82,6 @@ def minhash_bands(shingles: Column) -> Column:
 def template_rows(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
     """(name, shingles, length, bands) of the templates that have words."""
 
-    if len(templates) > MAX_TEMPLATES:
-        raise ValueError(f"at most {MAX_TEMPLATES} templates; scan for more in several passes")
     given = docs.sparkSession.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(text).alias("text")) for name, text in sorted(templates.items())])).alias("t"))
     cut = given.select("t.name", words_of(F.col("t.text")).alias("words")).filter(F.size("words") > 0)
@@ -88,14 +89,23 @@ def template_rows(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
         "bands", minhash_bands(F.col("shingles")))
 
 
-def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
-    """(row, name, first_word, last_word, contained): the best window of each notice in each text."""
+def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
+                 at_once: int = TEMPLATES_AT_ONCE) -> DataFrame:
+    """(row, id, name, first_word, last_word, contained): the best window of each notice in each text."""
+
+    given = sorted((TEMPLATES if templates is None else templates).items())
+    scans = [template_rows(docs, dict(given[at:at + at_once])) for at in range(0, len(given), at_once)] or [template_rows(docs, {"": ""})]
+    # The templates came from the caller, so their shingles fit the driver; they become literals of the plan.
+    shingles = [known.select("length", "shingles").collect() for known in scans]
+    lengths = sorted({r["length"] for rows in shingles for r in rows})
+    found = [_hits_of(docs, id_col, text_col, known, rows, lengths) for known, rows in zip(scans, shingles)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _hits_of(docs: DataFrame, id_col: str, text_col: str, known: DataFrame, rows: list, lengths: list[int]) -> DataFrame:
+    """The hits of the templates ``known``, whose lengths and shingles are ``rows``, in windows of all ``lengths``."""
 
-    known = template_rows(docs, TEMPLATES if templates is None else templates)
-    # At most MAX_TEMPLATES short rows reach the driver, to become literals of the plan.
-    rows = known.select("length", "shingles").collect()
     wanted = sorted({s for r in rows for s in r["shingles"]})
-    lengths = sorted({r["length"] for r in rows})
     listed = F.array(*[F.lit(s) for s in wanted]).cast("array<bigint>")
     texts = ids_and_texts(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     cut = computed_once(texts, words_of(F.col("text")).alias("words"), keep=["row", "id"])
@@ -105,7 +115,7 @@ def license_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places = flagged.select("row", "id", "shingles", F.filter(
         F.transform("shingles", lambda s, i: F.when(F.array_contains(listed, s), i)), lambda i: i.isNotNull()).alias("places"))
     starts = places.select("row", "id", "shingles", F.explode("places").alias("start"))
-    sized = starts.select("row", "id", "shingles", "start", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("length"))
+    sized = starts.select("row", "id", "shingles", "start", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("length"))
     # A notice that lost its first words starts at its first shingle that is left, so windows start at such places.
     windows = computed_once(sized, F.array_distinct(F.slice(
         "shingles", F.col("start") + 1, F.greatest(F.lit(1), F.col("length") - SHINGLE + 1))).alias("window"),

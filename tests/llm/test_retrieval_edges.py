@@ -126,12 +126,12 @@ def test_licenses_equal_plain_windows(spark):
 def test_license_templates_may_be_many_repeated_or_empty(spark):
     rng = random.Random(8)
     pool = [f"w{i}" for i in range(400)]
-    templates = {f"t{i}": " ".join(rng.choices(pool, k=12)) for i in range(2_500)}
+    templates = {f"t{i}": " ".join(rng.choices(pool, k=12)) for i in range(600)}
     templates |= {"none": " .!", "again": templates["t7"]}
-    docs = spark.createDataFrame([(1, f"so {templates['t7']} end"), (2, templates["t2400"]), (2, templates["t2400"]), (3, "w1 w2")],
+    docs = spark.createDataFrame([(1, f"so {templates['t7']} end"), (2, templates["t583"]), (2, templates["t583"]), (3, "w1 w2")],
                                  "doc_id long, text string")
     got = sorted((r.id, r.license, r.contained) for r in licenses.find_licenses(docs, templates=templates).collect())
-    assert got == [(1, "again", 1.0), (1, "t7", 1.0), (2, "t2400", 1.0), (2, "t2400", 1.0)]
+    assert got == [(1, "again", 1.0), (1, "t7", 1.0), (2, "t583", 1.0), (2, "t583", 1.0)]
     assert licenses.find_licenses(docs, templates={}).collect() == []
 
 
