@@ -16,6 +16,8 @@ from skyledger.session import materialize
 WHOLE_SHARE = 1 / 64
 #: Pieces of a group that is larger.
 PIECES = 1024
+#: Rows of the tree's narrow tables that a task writes; with fewer, starting tasks and files costs more than the rows.
+TASK_ROWS = 20_000
 
 
 def category(value: Column) -> Column:
@@ -34,7 +36,7 @@ def kd_shards(
     a share of that dimension's range over all documents; the first one of equals), at the weighted median: of a
     node meant for k shards, k // 2 go below the cut with their share of the bytes. All nodes of a level are cut
     together from running totals of the bytes, which no single task gathers. Points are groups of equal texts, placed
-    at their least coordinates.
+    at their least coordinates. Tables are written by a task for each ``TASK_ROWS`` rows at most, however many partitions a shuffle has.
 
     The size is the UTF-8 length plus one, so every row weighs something. A null text counts as an empty one, and a null or non-finite
     coordinate as 0. Null and repeated ids and repeated rows are rows of their own. Without rows there are no shards.
@@ -45,9 +47,9 @@ def kd_shards(
         raise ValueError("give either a number of shards or their size")
     axes = [f"c{i}" for i in range(len(dimensions))]
     rows = _rows(docs, dict(zip(axes, dimensions.values())), id_col, text_col)
-    spans = rows.agg(F.sum("size").alias("total"), *[F.min(a).alias(f"low_{a}") for a in axes],
+    spans = rows.agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("rows"), *[F.min(a).alias(f"low_{a}") for a in axes],
                      *[F.max(a).alias(f"high_{a}") for a in axes]).first()
-    total = spans["total"] or 0
+    total, tasks = spans["total"] or 0, max(1, math.ceil(spans["rows"] / TASK_ROWS))
     shards = shards or max(1, math.ceil(total / target_bytes))
     ranges = {a: (spans[f"high_{a}"] or 0.0) - (spans[f"low_{a}"] or 0.0) for a in axes}
 
@@ -55,16 +57,17 @@ def kd_shards(
     large = rows.groupBy("g").agg(F.sum("size").alias("_bytes"))
     large = large.filter(F.col("_bytes") > total / shards * whole_share).select("g", F.lit(True).alias("_large"))
     rows = rows.join(F.broadcast(large), "g", "left").withColumn("piece", F.when(F.col("_large"), F.col("piece")).otherwise(-1)).drop("_large")
-    rows = materialize(rows, "shard-rows")
+    rows = materialize(rows.coalesce(tasks), "shard-rows")
     points = rows.groupBy("g", "piece").agg(
         F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), *[F.min(a).alias(a) for a in axes])
-    leaves = _leaves(materialize(points.withColumns({"first": F.lit(0), "leaves": F.lit(shards)}), "points"), axes, ranges, shards)
+    points = materialize(points.withColumns({"first": F.lit(0), "leaves": F.lit(shards)}).coalesce(tasks), "points")
+    leaves = _leaves(points, axes, ranges, shards, tasks)
 
-    counted = running_totals(leaves, ["g", "piece"], {"_end": F.col("n")}, keys=["first"], label="slots")
+    counted = running_totals(leaves, ["g", "piece"], {"_end": F.col("n")}, keys=["first"], label="slots", tasks=tasks)
     placed = counted.select("g", "piece", F.col("first").alias("shard"), (F.col("_end") - F.col("n")).alias("_start"))
     nth = F.row_number().over(Window.partitionBy("g", "piece").orderBy("id", "row"))
     return rows.join(placed, ["g", "piece"]).select(
-        "id", "size", "text_crc32", "shard", (F.col("_start") + nth - 1).cast("long").alias("slot"))
+        "id", "size", "text_crc32", "shard", (F.col("_start") + nth - 1).cast("long").alias("slot")).coalesce(tasks)
 
 
 def _rows(docs: DataFrame, coordinates: Mapping[str, Column], id_col: str, text_col: str) -> DataFrame:
@@ -80,7 +83,7 @@ def _rows(docs: DataFrame, coordinates: Mapping[str, Column], id_col: str, text_
     return materialize(narrow.withColumn("piece", piece), "documents")
 
 
-def _leaves(points: DataFrame, axes: list[str], ranges: Mapping[str, float], shards: int) -> DataFrame:
+def _leaves(points: DataFrame, axes: list[str], ranges: Mapping[str, float], shards: int, tasks: int) -> DataFrame:
     """Points with the shard they end in, as ``first``; a node is named by the first of its shards."""
 
     most = shards
@@ -94,14 +97,14 @@ def _leaves(points: DataFrame, axes: list[str], ranges: Mapping[str, float], sha
         at = F.coalesce(*[F.when(F.col("_axis") == i + 1, F.col(a)) for i, a in enumerate(axes)], F.lit(0.0))
         ordered = running_totals(
             points.join(F.broadcast(nodes), "first").withColumn("_at", at), ["_at", "g", "piece"],
-            {"_run": F.col("bytes")}, keys=["first"], label="cuts")
+            {"_run": F.col("bytes")}, keys=["first"], label="cuts", tasks=tasks)
         below = F.floor(F.col("leaves") / 2).cast("int")
         middle = (F.col("_run") - F.col("bytes") / 2) / F.col("_total")
         under = middle <= below / F.col("leaves")
         points = materialize(ordered.select(
             "g", "piece", "bytes", "n", *axes,
             F.when(under, F.col("first")).otherwise(F.col("first") + below).alias("first"),
-            F.when(under & (below > 0), below).otherwise(F.col("leaves") - below).alias("leaves")), "points")
+            F.when(under & (below > 0), below).otherwise(F.col("leaves") - below).alias("leaves")).coalesce(tasks), "points")
         most = most - most // 2
     return points
 

@@ -14,7 +14,7 @@ from skyledger.session import materialize
 
 def running_totals(
     df: DataFrame, order: Sequence[Column | str], totals: Mapping[str, Column], *, keys: Sequence[str] = (),
-    label: str = "ranges",
+    label: str = "ranges", tasks: int | None = None,
 ) -> DataFrame:
     """``df`` with a running total of each of ``totals`` in ``order``, the row itself included.
 
@@ -24,9 +24,10 @@ def running_totals(
     a range, however dense a key or an instant is; a busy key spans many ranges. Rows that tie
     in ``order`` get totals in any order among themselves: end it with a unique column where
     that matters. Null keys and null order values are values of their own, nulls first.
+    At most ``tasks`` tasks write the ranges, one file each: a caller that knows its rows keeps files from being many and tiny.
     """
 
-    return _scanned(df, order, totals, list(keys), label, F.sum, lambda own, before: own + before, add)
+    return _scanned(df, order, totals, list(keys), label, F.sum, lambda own, before: own + before, add, tasks)
 
 
 def running_greatest(
@@ -42,12 +43,12 @@ def running_greatest(
     return _scanned(df, order, values, list(keys), label, F.max, F.greatest, None)
 
 
-def _scanned(df, order, values, keys, label, aggregate, combine, accumulator) -> DataFrame:
+def _scanned(df, order, values, keys, label, aggregate, combine, accumulator, tasks=None) -> DataFrame:
     whole = set(df.columns)
     part, value = _free("_part", whole), {name: _free(f"_of_{name}", whole) for name in values}
     ranged = df.withColumns({value[name]: amount for name, amount in values.items()})
-    ranged = materialize(
-        ranged.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()), label)
+    ranged = ranged.repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id())
+    ranged = materialize(ranged.coalesce(tasks) if tasks else ranged, label)
 
     ends = ranged.groupBy(part, *keys).agg(*[aggregate(value[name]).alias(name) for name in values])
     before = _before(ends, part, keys, list(values), aggregate, accumulator)

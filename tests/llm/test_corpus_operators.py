@@ -5,12 +5,14 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from skyledger.llm import queries, resampling, sharding, spelling
+from skyledger.session import shared_dir
 
 FOLDER = "/root/testdata/sf0.001"
 EDGE = "doc_id long, text string, id long, row int, word string, n long, size int, g long, segment int, score long, lang string, source string"
@@ -102,6 +104,25 @@ def test_a_group_of_most_rows_is_parted_evenly(spark):
     assert max(sizes) / min(sizes) < 1.02
 
 
+def test_shards_of_few_rows_write_few_files(spark):
+    rows = spark.range(300, numPartitions=2).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text"), "id").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    few = sorted(map(tuple, sharding.document_shards(rows, 8).collect()))
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in settings}
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert sorted(map(tuple, sharding.document_shards(rows, 8).collect())) == few
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    written = [len([*path.glob("part-*")]) for path in set(folder.iterdir()) - before]
+    assert len(written) >= 8 and max(written) <= 2
+
+
 def test_shards_by_target_size(spark):
     rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lpad("id", 99, "x").alias("text"))
     found = sharding.kd_shards(rows, {}, target_bytes=30_000).collect()
