@@ -15,6 +15,7 @@ from skyledger.operators.digest import canonical_json, content_digest, multiset_
 from skyledger.operators.literals import literal_rows
 from skyledger.operators.prefix import ranked
 from skyledger.operators.state import last_good_sources
+from skyledger.session import materialize
 from skyledger.sinks import artifacts
 from skyledger.sources.catalogues import (
     GCAT_USED, clean_gcat, clean_magnitudes, clean_satcat, gcat_files, satcat_files, source_rows, split_tab_lines,
@@ -265,18 +266,20 @@ def catalog_content_hash(v: Inputs) -> DataFrame:
     return content_digest(_shards(v))
 
 
-def _otherwise(v: Inputs) -> DataFrame:
-    """The catalogue in another state: some shards gone, some with one record changed."""
+def _otherwise(rows: DataFrame) -> DataFrame:
+    """A catalogue in another state: some shards gone, some with one record changed."""
 
-    rows = kept(v).filter(F.pmod(artifacts.shard_of(F.col("norad")), F.lit(5)) != 3)
+    rows = rows.filter(F.pmod(artifacts.shard_of(F.col("norad")), F.lit(5)) != 3)
     return rows.withColumn("owner", F.when((F.col("norad") % 4000 < 9) & F.col("owner").isNotNull(), "CHANGED").otherwise(F.col("owner")))
 
 
 def catalog_shard_changes(v: Inputs) -> DataFrame:
     """Which shards a release would have to write, and which it would leave behind."""
 
-    before = _shards(v).filter(F.pmod(F.col("bucket"), F.lit(7)) != 1)
-    after = shard_digests(_otherwise(v), "norad", artifacts.canonical_record())
+    # Both states come from one merge, filtered once its dates are parsed; the comparison reads each side twice.
+    rows = merge.within_decay_window(materialize(merged(v), "merged"), AS_OF)
+    before = materialize(shard_digests(rows, "norad", artifacts.canonical_record()), "shards").filter(F.pmod(F.col("bucket"), F.lit(7)) != 1)
+    after = materialize(shard_digests(_otherwise(rows), "norad", artifacts.canonical_record()), "shards")
     return shard_changes(before, after)
 
 

@@ -69,7 +69,7 @@ def record_json() -> Column:
 def canonical_record() -> Column:
     """All published fields of a merged record in fixed order, nulls and provenance included."""
 
-    entries = F.array_sort(F.map_entries("sources"))
+    entries = F.sort_array(F.map_entries("sources"))  # in generated code, which array_sort is not
     return canonical_json(F.col("norad"), *[F.col(n) for n in MERGED_FIELDS], entries.alias("sources"))
 
 
