@@ -286,12 +286,13 @@ def catalog_shard_changes(v: Inputs) -> DataFrame:
 def catalog_manifest(v: Inputs) -> DataFrame:
     """Counts, shard count and content hash, with how each fetched source was served: a row a source."""
 
-    every, as_kept = merged(v), kept(v)
-    digest = artifacts.catalogue_digest(as_kept)
+    fetched = {"satcat": materialize(satcat(v), "satcat"), "gcat": materialize(gcat(v), "gcat")}
+    every = materialize(merge.merge_catalogues(fetched["satcat"], fetched["gcat"], magnitudes(v)), "merged")
+    digest = artifacts.catalogue_digest(merge.within_decay_window(every, AS_OF))
     metrics = merge.merge_metrics(every, AS_OF)
     both = metrics.unionByName(digest, allowMissingColumns=True)
     totals = both.agg(*[F.max(name).alias(name) for name in both.columns]).withColumn("all", F.lit(1))
-    served = last_good_sources(v.fx_source_snapshots).join(source_rows(satcat=satcat(v), gcat=gcat(v)), "source")
+    served = last_good_sources(v.fx_source_snapshots).join(source_rows(**fetched), "source")
     sources = served.select("source", F.col("usable").alias("ok"), "fetched_at", "from_cache", "stale", "error", "rows", F.lit(1).alias("all"))
     return sources.join(totals, "all").drop("all")
 

@@ -48,7 +48,7 @@ def test_ranks_and_running_sums_use_no_single_partition(spark, name):
     assert "SinglePartition" not in QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["catalog_shard_changes"])
+@pytest.mark.parametrize("name", ["catalog_shard_changes", "catalog_manifest"])
 def test_a_merge_that_is_read_twice_is_run_once(spark, name):
     found = entry.queries()[name](spark, FOLDER)
     assert not [path for path in found.inputFiles() if "orders.parquet" in path]
